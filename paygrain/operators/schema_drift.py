@@ -64,9 +64,9 @@ PROJECT = (
 
 #: Words of headers that stand for a word of the project's names.
 LEXICON = {
-    "SAL": "SALAIRE", "REMUNERATION": "SALAIRE", "PAIE": "SALAIRE", "BRUTE": "BRUT", "NUM": "NUMERO", "NO": "NUMERO", "N": "NUMERO", "NUMBER": "NUMERO",
-    "IDENTIFIANT": "ID", "MATRICULE": "ID", "INDIVIDU": "INDIV", "TEMPS": "DUREE", "TRAVAILLE": "TRAVAILLEE", "TRAV": "TRAVAILLEE", "SEX": "SEXE", "GENRE": "SEXE",
-    "DT": "DATE", "NE": "NAISSANCE", "NEE": "NAISSANCE", "RS": "RAISON SOCIALE", "EMPL": "EMPLOYEUR", "NB": "EFFECTIF", "NOMBRE": "EFFECTIF",
+    "REMUNERATION": "SALAIRE", "PAIE": "SALAIRE", "BRUTE": "BRUT", "NO": "NUMERO", "N": "NUMERO", "NUMBER": "NUMERO",
+    "IDENTIFIANT": "ID", "MATRICULE": "ID", "INDIVIDU": "INDIV", "TEMPS": "DUREE", "TRAVAILLE": "TRAVAILLEE", "SEX": "SEXE", "GENRE": "SEXE",
+    "DT": "DATE", "NE": "NAISSANCE", "NEE": "NAISSANCE", "RS": "RAISON SOCIALE", "NB": "EFFECTIF", "NOMBRE": "EFFECTIF",
     "SALARIE": "SALARIE", "SALARIES": "SALARIE",
 }
 #: Words that carry no meaning of their own, and units.
@@ -216,11 +216,12 @@ def _columns(m: np.ndarray) -> np.ndarray:
 
 def _name_similarity(a: list[str], b: list[str], known: frozenset[str]) -> float:
     """Words shared, against words of the header that say something else and, less, words of the column left out."""
-    both = [w for w in a if w in b]
+    like = lambda x, y: x == y or (len(x) >= 3 and y.startswith(x))  # an abbreviation stands for its word
+    both = [w for w in a if any(like(w, y) for y in b)]
     if not both:
         return 0.0
-    extra = sum(0.3 if w in known else 1.0 for w in a if w not in b)
-    return len(both) / (len(both) + extra + 0.25 * sum(w not in a for w in b))
+    extra = sum(0.3 if w in known else 1.0 for w in a if w not in both)
+    return len(both) / (len(both) + extra + 0.25 * sum(not any(like(w, y) for w in a) for y in b))
 
 
 def match_files(fields: DataFrame, project: Sequence[Field] = PROJECT) -> DataFrame:
