@@ -45,7 +45,8 @@ def code(x: Column | str, classes: Sequence[Class]) -> Column:
 
 
 def text(code_: Column, classes: Sequence[Class]) -> Column:
-    return F.element_at(F.array(*[F.lit(c[2]) for c in classes]), code_)
+    """The label of a class code; null for null."""
+    return F.get(F.array(*[F.lit(c[2]) for c in classes]), code_ - 1)
 
 
 def cut(x: Column | str, breaks: Sequence[float], labels: Sequence[str]) -> Column:

@@ -27,7 +27,7 @@ def jaro(a: str, b: str) -> float:
                 break
     if not hits:
         return 0.0
-    swapped = sum(x != y for x, y in zip(hits, [c for c, f in zip(b, free) if not f])) / 2
+    swapped = sum(x != y for x, y in zip(hits, [c for c, f in zip(b, free) if not f])) // 2
     m = len(hits)
     return (m / len(a) + m / len(b) + (m - swapped) / m) / 3
 

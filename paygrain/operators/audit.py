@@ -50,9 +50,10 @@ def outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), fact
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("lower", F.col("q1") - factor * iqr).withColumn("upper", F.col("q3") + factor * iqr)
     keys = [*by, "column"]
-    j = c.withColumnRenamed("n", "_c").join(q, [c[k].eqNullSafe(q[k]) for k in keys])
+    right = c.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "v", F.col("n").alias("_c"))
+    j = q.join(right, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     out = F.sum(F.when((F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper")), F.col("_c")).otherwise(0))
-    g = j.groupBy(*[q[k] for k in keys], "q1", "q3", "lower", "upper", "n").agg(out.alias("outliers"))
+    g = j.groupBy(*keys, "q1", "q3", "lower", "upper", "n").agg(out.alias("outliers"))
     return g.withColumn("pct", F.col("outliers") * 100.0 / F.col("n"))
 
 

@@ -32,8 +32,8 @@ def extremes(df: DataFrame, keys: Sequence[str], y: str, k: int = 5) -> DataFram
     hi = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("y")))).where(F.col("_r") <= k)
     a = lo.groupBy(*keys).agg(F.min("y").alias("min"), (F.max("y") - F.min("y")).alias("min_range"))
     b = hi.groupBy(*keys).agg(F.max("y").alias("max"), (F.max("y") - F.min("y")).alias("max_range"))
-    on = [a[c].eqNullSafe(b[c]) for c in keys]
-    return a.join(b, on).select(*[a[c] for c in keys], a["min"], a["min_range"], b["max"], b["max_range"])
+    b = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return a.join(b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]).select(*keys, "min", "min_range", "max", "max_range")
 
 
 def bootstrap_quantiles(df: DataFrame, keys: Sequence[str], y: str, w: str, ps: dict[str, float], replicates: int = 200, seed: int = 1, least: int = 10) -> DataFrame:

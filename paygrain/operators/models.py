@@ -64,12 +64,12 @@ def inverse_weights(df: DataFrame, p: str, weight: str = "w_jt", floor: float =
     floor), trimmed to its own quantiles (linear between values). The figures are scalar subqueries."""
     mean = df.agg(F.avg(p)).scalar()
     q = F.greatest(F.coalesce(F.col(p), mean), F.lit(floor))
-    d = df.withColumn("_q", q)
-    top = (d.agg(F.avg(F.coalesce(F.col(p), mean))) if marginal == "before" else d.agg(F.avg("_q"))).scalar() if stabilise else F.lit(1.0)
+    d = df.withColumn("_q", q).withColumn("_m", F.coalesce(F.col(p), mean))
+    top = d.agg(F.avg("_m" if marginal == "before" else "_q")).scalar() if stabilise else F.lit(1.0)
     d = d.withColumn("_raw", top / F.col("_q"))
     cut = d.agg(F.percentile("_raw", F.array(F.lit(trim[0]), F.lit(trim[1])))).scalar()
     d = d.withColumn("_cut", cut)
-    return d.withColumn(weight, F.greatest(F.col("_cut")[0], F.least(F.col("_cut")[1], F.col("_raw")))).drop("_q", "_raw", "_cut")
+    return d.withColumn(weight, F.greatest(F.col("_cut")[0], F.least(F.col("_cut")[1], F.col("_raw")))).drop("_q", "_m", "_raw", "_cut")
 
 
 def auc(df: DataFrame, score: str, outcome: str) -> DataFrame:

@@ -31,9 +31,9 @@ def final_weights(df: DataFrame, parts: Sequence[str] = ("w_jt", "w_ijt"), perio
             w = w * F.coalesce(p, F.lit(1.0))
     d = df.withColumn("w_final", w)
     # sums per period are joined back: a window would bring a whole period into one task
-    per = d.groupBy(*period).agg(F.sum("w_final").alias("_t"), F.count("*").alias("_n"))
-    on = [d[c].eqNullSafe(per[c]) for c in period]
-    return d.join(F.broadcast(per), on).select(*[d[c] for c in d.columns], (d["w_final"] / per["_t"] * per["_n"]).alias("w_normalized"))  # one row per period
+    per = d.groupBy(*[F.col(c).alias(f"_k_{c}") for c in period]).agg(F.sum("w_final").alias("_t"), F.count("*").alias("_n"))
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in period]
+    return d.join(F.broadcast(per), on).select(*d.columns, (F.col("w_final") / F.col("_t") * F.col("_n")).alias("w_normalized"))  # one row per period
 
 
 def long_form(df: DataFrame, dims: Sequence[Dimension], keep: Sequence[str]) -> DataFrame:
@@ -113,10 +113,12 @@ def suppress(stats: DataFrame, least: float = 30, weight: str = "n_weighted") ->
 
 def winsorise(df: DataFrame, keys: Sequence[str], y: str, p: float = 0.01) -> DataFrame:
     """y clamped in its group to the quantiles p and 1 - p (linear between values); null stays null."""
-    q = df.groupBy(*keys).agg(F.percentile(y, F.array(F.lit(p), F.lit(1 - p))).alias("_q"))
-    on = [df[k].eqNullSafe(q[k]) for k in keys]
-    clamped = F.when(df[y].isNotNull(), F.greatest(q["_q"][0], F.least(q["_q"][1], df[y])))
-    return df.join(q, on).select(*[clamped.alias(y) if c == y else df[c] for c in df.columns])
+    # equal values are combined map-side before the percentiles see them
+    c = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(y).alias("_y")).agg(F.count("*").alias("_c")).where("_y IS NOT NULL")
+    q = c.groupBy(*[f"_k_{k}" for k in keys]).agg(F.percentile("_y", F.array(F.lit(p), F.lit(1 - p)), F.col("_c")).alias("_q"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    clamped = F.when(F.col(y).isNotNull(), F.greatest(F.col("_q")[0], F.least(F.col("_q")[1], F.col(y))))
+    return df.join(q, on, "left").select(*[clamped.alias(y) if c == y else F.col(c) for c in df.columns])
 
 
 REPORT = [

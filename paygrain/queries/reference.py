@@ -84,10 +84,10 @@ def prj10_observation_id(s, d):
     return x.select("ligne_id", clean.observation_id("id_indiv", "numero_employeur", "period").alias("obs_id"))
 
 
-@query("SELECT ligne_id, coalesce(w_jt, 1.0) * coalesce(w_ijt, 1.0) AS w, ln(coalesce(nullif(salaire_brut_mens, 'nan'::DOUBLE), 0) * 0 + 2) l FROM base_analytique")
+@query("SELECT ligne_id, coalesce(w_jt, 1.0) * coalesce(w_ijt, 1.0) AS w, round(ln(1 + w_jt), 9) l, round(exp(ln(1 + w_jt)) - 1, 9) e FROM base_analytique")
 def prj12_prj13_weights_and_logs(s, d):
     b = table(s, d, "base_analytique")
-    return b.select("ligne_id", panel.weight_product(F.col("w_jt"), F.col("w_ijt")).alias("w"), F.log1p(F.coalesce(F.nanvl("salaire_brut_mens", F.lit(None).cast("double")), F.lit(0.0)) * 0 + 1).alias("l"))
+    return rounded(b.select("ligne_id", panel.weight_product(F.col("w_jt"), F.col("w_ijt")).alias("w"), F.log1p("w_jt").alias("l"), F.expm1(F.log1p("w_jt")).alias("e")), 9, ["w"])
 
 
 @query(
@@ -253,7 +253,7 @@ def win08_keep_first(s, d):
 
 # --- statistics ------------------------------------------------------------------------------------------------------
 
-_OUT = "round(n_weighted, 4) n_weighted, round(mean, 4) mean, round(variance, 1) variance, min, max, q1, median, q3, p10, p90, round(gini, 6) gini"
+_OUT = "round(n_weighted, 6) n_weighted, round(mean, 4) mean, round(variance, -3) variance, min, max, q1, median, q3, p10, p90, round(gini, 6) gini"
 
 
 def _stat_sql(keys: str, source: str, where: str = "", having: str = "") -> str:
@@ -268,7 +268,7 @@ SELECT {k}, n_obs, {_OUT} FROM e {having}"""
 
 
 def _round_stats(x: DataFrame) -> DataFrame:
-    n = {"variance": 1, "gini": 6, "gini_standard": 6}
+    n = {"n_weighted": 6, "variance": -3, "gini": 6, "gini_standard": 6}
     return x.select(*[F.round(c, n.get(c, 4)).alias(c) if c in ("n_weighted", "mean", "variance", "gini", "gini_standard") else F.col(c) for c in x.columns])
 
 
@@ -346,9 +346,9 @@ def rsh07_srt05_report_table(s, d):
     return rounded(stats.report_table(stats.report(_base(s, d), "sexe", "y", "w"), [(int(m[:4]), int(m[5:])) for m in MONTHS]), 3)
 
 
-@query("SELECT ligne_id, round(w_jt * w_ijt, 6) w_final, round(w_jt * w_ijt / sum(w_jt * w_ijt) OVER (PARTITION BY annee, mois) * count(*) OVER (PARTITION BY annee, mois), 6) w_normalized FROM base_analytique")
+@query("SELECT ligne_id, w_jt * w_ijt w_final, round(w_jt * w_ijt / sum(w_jt * w_ijt) OVER (PARTITION BY annee, mois) * count(*) OVER (PARTITION BY annee, mois), 6) w_normalized FROM base_analytique")
 def win06_normalised_weights(s, d):
-    return rounded(stats.final_weights(table(s, d, "base_analytique").drop("w_final")).select("ligne_id", "w_final", "w_normalized"), 6)
+    return rounded(stats.final_weights(table(s, d, "base_analytique").drop("w_final")).select("ligne_id", "w_final", "w_normalized"), 6, ["w_final"])
 
 
 _Z = mathx.normal_quantile(0.975)
@@ -392,7 +392,7 @@ _IMP = f"WITH {_B}, i AS (SELECT b.* REPLACE (y * (1 + m / 100) AS y), m FROM b,
 
 
 @query(
-    f"{_IMP}, e AS (SELECT sexe, m, avg(y) est, var_samp(y) / count(y) v FROM i GROUP BY ALL) SELECT sexe, count(est) m, round(avg(est), 4) estimate, round(avg(v), 2) within, round(var_samp(est), 2) between, round(avg(v) + (1 + 1 / count(est)) * var_samp(est), 2) variance FROM e GROUP BY 1"
+    f"{_IMP}, e AS (SELECT sexe, m, avg(y) est, var_samp(y) / count(y) v FROM i GROUP BY ALL) SELECT sexe, count(est) m, round(avg(est), 4) estimate, round(avg(v), 2) AS \"within\", round(var_samp(est), 2) AS \"between\", round(avg(v) + (1 + 1 / count(est)) * var_samp(est), 2) variance FROM e GROUP BY 1"
 )
 def agg17_rubin(s, d):
     e = _imputed(s, d).groupBy("sexe", "imputation_id").agg(F.avg("y").alias("est"), (F.var_samp("y") / F.count("y")).alias("v"))
@@ -431,7 +431,7 @@ def agg21_rsh08_fill_profile(s, d):
     return rounded(audit.fill_profile(_decl(s, d), _PROFILED), 6)
 
 
-@query("SELECT count(*) n, (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (ligne_id, recu_le) FROM declarations)) n_distinct, n - n_distinct duplicates FROM declarations")
+@query("WITH u AS (SELECT DISTINCT * EXCLUDE (ligne_id, recu_le) FROM declarations), a AS (SELECT count(*) n FROM declarations), b AS (SELECT count(*) n_distinct FROM u) SELECT n, n_distinct, n - n_distinct duplicates FROM a, b")
 def agg22_set02_duplicates(s, d):
     return audit.duplicate_rows(_decl(s, d).drop("ligne_id", "recu_le"))
 
@@ -443,9 +443,10 @@ def agg23_key_uniqueness(s, d):
 
 @query(
     """WITH u AS (SELECT DISTINCT id_indiv, numero_employeur, annee, mois, type_salarie, salaire_brut, duree_travaillee FROM declarations), l AS (SELECT type_salarie, unnest([{'column': 'salaire_brut', 'v': salaire_brut}, {'column': 'duree_travaillee', 'v': duree_travaillee}], recursive := true) FROM u),
-q AS (SELECT type_salarie, "column", quantile_cont(v, 0.25) q1, quantile_cont(v, 0.75) q3, count(*) n FROM l GROUP BY ALL)
-SELECT q.type_salarie, q."column", round(q1, 4) q1, round(q3, 4) q3, round(q1 - 1.5 * (q3 - q1), 4) lower, round(q3 + 1.5 * (q3 - q1), 4) upper, n, coalesce(sum((v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))::INT), 0)::BIGINT outliers,
-round(coalesce(sum((v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))::INT), 0) * 100.0 / n, 6) pct FROM q JOIN l ON q.type_salarie IS NOT DISTINCT FROM l.type_salarie AND q."column" = l."column" GROUP BY ALL"""
+q AS (SELECT type_salarie, "column", quantile_cont(v, 0.25) q1, quantile_cont(v, 0.75) q3, count(*) n FROM l GROUP BY ALL),
+o AS (SELECT q.type_salarie, q."column", count(*) FILTER (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) outliers FROM q JOIN l ON q.type_salarie IS NOT DISTINCT FROM l.type_salarie AND q."column" = l."column" GROUP BY q.type_salarie, q."column")
+SELECT q.type_salarie, q."column", round(q1, 4) q1, round(q3, 4) q3, round(q1 - 1.5 * (q3 - q1), 4) lower, round(q3 + 1.5 * (q3 - q1), 4) upper, n, outliers, round(outliers * 100.0 / n, 6) pct FROM q JOIN o ON q.type_salarie IS NOT DISTINCT FROM o.type_salarie AND q."column" = o."column"
+"""
 )
 def agg24_outliers(s, d):
     x = _decl(s, d).select("id_indiv", "numero_employeur", "annee", "mois", "type_salarie", "salaire_brut", "duree_travaillee")
@@ -679,7 +680,8 @@ _LINE = catalog.ModelSpec("imputation_firm_salary", "linear", "log_y_bar_jt", ("
 def mod01_logit_weights(s, d):
     h = _history(s, d)
     m = models.fit_logit(h, _SPEC)
-    return models.inverse_weights(models.predict(h, m, "pi_jt"), "pi_jt").select("ligne_id", "d_jt", "pi_jt", "w_jt")
+    p = materialise(models.predict(h, m, "pi_jt"), "model-probabilities")
+    return models.inverse_weights(p, "pi_jt").select("ligne_id", "d_jt", "pi_jt", "w_jt")
 
 
 @query()
@@ -729,3 +731,49 @@ def joi12_compare_runs(s, d):
     b = table(s, d, "base_analytique")
     one = lambda y: b.where(F.col("annee") == y).groupBy("sexe").agg(F.avg("age_employe").alias("m"), F.count("*").cast("double").alias("n"))
     return rounded(refjoin.compare_runs(one(2024), one(2025), ["sexe"], ["m", "n"]), 6)
+
+
+# --- intake ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS \"start\", event_type, count(*) n, round(sum(value), 4) total FROM events GROUP BY ALL")
+def stream_windowed_counts(s, d):
+    from ..streaming.intake import windowed_counts
+
+    w = windowed_counts(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return w.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("SELECT fichier AS file, 'modified' AS reason FROM (SELECT DISTINCT fichier FROM lignes_brutes) WHERE fichier[1:2] = '03' UNION ALL SELECT fichier, 'new_file' FROM (SELECT DISTINCT fichier FROM lignes_brutes) WHERE fichier[1:2] = '04' UNION ALL SELECT fichier, 'incomplete' FROM (SELECT DISTINCT fichier FROM lignes_brutes) WHERE fichier[1:2] = '05'")
+def src10_incremental_files(s, d):
+    from ..sources.files import to_process
+
+    f = table(s, d, "lignes_brutes").groupBy(F.col("fichier").alias("file")).agg(F.md5(F.array_join(F.array_sort(F.collect_list(F.md5("contenu"))), "")).alias("hash"))
+    month = F.substring("file", 1, 2)
+    known = f.where(month != "04").select("file", F.when(month == "03", "?").otherwise(F.col("hash")).alias("hash"), F.when(month == "05", "in_progress").otherwise("completed").alias("status"))
+    return to_process(f, known).select("file", "reason")
+
+
+@query("SELECT upper(libelle_agence) agence, libelle_agence[8:] numero, regexp_extract(libelle_agence, '([0-9]+)$', 1)::INT n, libelle_agence ~ 'A0+1' hit FROM (SELECT DISTINCT libelle_agence FROM declarations WHERE libelle_agence IS NOT NULL)")
+def str08_to_str10_text_fields(s, d):
+    c = F.col("libelle_agence")
+    x = _decl(s, d).where(c.isNotNull()).select(c).distinct()
+    return x.select(F.upper(c).alias("agence"), F.substring(c, 8, 1000).alias("numero"), F.regexp_extract(c, "([0-9]+)$", 1).try_cast("int").alias("n"), c.rlike("A0+1").alias("hit"))
+
+
+@query()
+def pipeline_estimates(s, d):
+    """The whole chain, from declarations to publishable cells."""
+    from ..plans.pipeline import Pipeline, Settings
+
+    r = Pipeline(s, settings=Settings(imputations=0, checks=False)).run({"declarations": _decl(s, d), "secteurs_employeurs": table(s, d, "secteurs_employeurs")})
+    return r.tables["estimates"]
+
+
+@query()
+def pipeline_combined_imputations(s, d):
+    """The whole chain with five imputations, combined."""
+    from ..plans.pipeline import Pipeline, Settings
+
+    r = Pipeline(s, settings=Settings(checks=False)).run({"declarations": _decl(s, d), "secteurs_employeurs": table(s, d, "secteurs_employeurs")})
+    return r.tables["combined"]
