@@ -15,6 +15,7 @@ import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -158,10 +159,10 @@ def flood(
     of its words, kinds, forms and nested names."""
     if not headers:
         return {}
-    known = frozenset(w for f in project for w in stems(f.name))
-    words_h = [stems(h, known) or [h.strip().upper()] for h, *_ in headers]
-    words_p = [stems(f.name) for f in project]
-    s0 = np.array([[_name_similarity(a, b, known) for b in words_p] for a in words_h])
+    project = tuple(project)
+    words_p, known = _project_words(project)
+    words_h = [_header_words(h, known) for h, *_ in headers]
+    s0 = np.array([_similar_names(h, project) for h, *_ in headers])
     labels = [
         (words_h, words_p, 0.5),
         ([[k] if k else [] for _, k, _, _ in headers], [list(f.kinds) for f in project], 0.15),
@@ -174,15 +175,20 @@ def flood(
         if not na or not nb:
             continue
         ea, eb = _incidence(a, na), _incidence(b, nb)
-        graphs.append((ea, eb, np.array([[1.0 if x == y else 0.0 for y in nb] for x in na]), share))
+        at = {y: j for j, y in enumerate(nb)}
+        same = np.zeros((len(na), len(nb)))
+        for i, x in enumerate(na):
+            if x in at:
+                same[i, at[x]] = 1.0
+        graphs.append((ea, eb.T, same, share, _columns(ea).T, _columns(eb)))
     s, nodes = s0.copy(), [g[2].copy() for g in graphs]
     for _ in range(most):
         new = s0 + s
-        for (ea, eb, _, share), t in zip(graphs, nodes):
-            new = new + share * (ea @ t @ eb.T)
+        for (ea, eb, _, share, _, _), t in zip(graphs, nodes):
+            new = new + share * (ea @ t @ eb)
         fresh = []
-        for (ea, eb, t0, _), t in zip(graphs, nodes):
-            up = t0 + t + _columns(ea).T @ s @ _columns(eb)
+        for (_, _, t0, _, ca, cb), t in zip(graphs, nodes):
+            up = t0 + t + ca @ s @ cb
             fresh.append(up / max(up.max(), 1e-9))
         new = new / max(new.max(), 1e-9)
         moved = np.abs(new - s).max()
@@ -201,6 +207,23 @@ def flood(
     return out
 
 
+@lru_cache(maxsize=8)
+def _project_words(project: tuple[Field, ...]) -> tuple[list[list[str]], frozenset[str]]:
+    words = [stems(f.name) for f in project]
+    return words, frozenset(w for ws in words for w in ws)
+
+
+@lru_cache(maxsize=10_000)
+def _header_words(header: str, known: frozenset[str]) -> list[str]:
+    return stems(header, known) or [header.strip().upper()]
+
+
+@lru_cache(maxsize=10_000)
+def _similar_names(header: str, project: tuple[Field, ...]) -> tuple[float, ...]:
+    words, known = _project_words(project)
+    return tuple(_name_similarity(_header_words(header, known), w, known) for w in words)
+
+
 def _incidence(rows: list[list[str]], names: list[str]) -> np.ndarray:
     at = {x: i for i, x in enumerate(names)}
     m = np.zeros((len(rows), len(names)))
