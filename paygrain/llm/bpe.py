@@ -64,6 +64,7 @@ class Bpe:
         for t, i in by_text.items():
             self.auto.add_word(t, i)
         self.auto.make_automaton()
+        self.longest = max(self.size)
         # the longest token that is a proper beginning of a token; -1 for single bytes
         self.shorter = [-1] * top
         for t, i in by_text.items():
@@ -110,8 +111,9 @@ class Bpe:
             return [whole]
         n, at, out = len(s), 0, []
         dead = bytearray(n + 1)
-        auto, size = self.auto, self.size
-        token = next(auto.iter_long(s, 0))[1]
+        auto, size, far = self.auto, self.size, self.longest
+        # only as much as a token may take is handed over: the matcher copies its text
+        token = next(auto.iter_long(s[:far]))[1]
         while True:
             last = out[-1] if out else -1
             while token >= 0:
@@ -124,7 +126,7 @@ class Bpe:
                 at = end
                 if at == n:
                     return out
-                token = next(auto.iter_long(s, at))[1]
+                token = next(auto.iter_long(s[at : at + far]))[1]
             else:
                 dead[at] = 1
                 token = out.pop()  # tried again from its own start; its end is dead now, so a shorter one follows
