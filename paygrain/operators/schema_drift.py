@@ -115,20 +115,14 @@ def value_form(kind: Column, text: Column) -> Column:
 
 def parse(raw: DataFrame) -> DataFrame:
     """(fichier, ligne_id, header, kind, text): one row per key of every readable object. kind is number, text, object
-    or other; null where the value is null. A row that isn't a whole JSON object is unreadable and gives nothing;
-    a key that is repeated in an object counts once."""
-    v = raw.select("fichier", "ligne_id", F.try_parse_json("contenu").alias("_v")).where("schema_of_variant(_v) LIKE 'OBJECT%'")
-    obj = F.from_json(F.to_json("_v"), "map<string,variant>")
-    e = v.select("fichier", "ligne_id", F.explode(obj).alias("header", "_x"))
-    s = F.expr("schema_of_variant(_x)")
-    kind = (
-        F.when(F.col("_x").isNull() | (s == "VOID"), None)
-        .when(s == "STRING", "text")
-        .when(s.startswith("OBJECT"), "object")
-        .when((s == "BOOLEAN") | s.startswith("ARRAY"), "other")
-        .otherwise("number")
-    )
-    return e.select("fichier", "ligne_id", "header", kind.alias("kind"), F.expr("CASE WHEN schema_of_variant(_x) = 'VOID' THEN NULL ELSE try_variant_get(_x, '$', 'string') END").alias("text"))
+    or other; null where the value is null. A row that isn't a whole JSON object, or repeats a key, is unreadable and
+    gives nothing. Each row is parsed once."""
+    v = raw.select("fichier", "ligne_id", F.try_parse_json("contenu").alias("_v"))
+    e = v.lateralJoin(raw.sparkSession.tvf.variant_explode(F.col("_v").outer())).where("key IS NOT NULL")
+    e = e.select("fichier", "ligne_id", F.col("key").alias("header"), F.expr("schema_of_variant(value)").alias("_s"), F.expr("try_variant_get(value, '$', 'string')").alias("text"))
+    s = F.col("_s")
+    kind = F.when(s == "VOID", None).when(s == "STRING", "text").when(s.startswith("OBJECT"), "object").when((s == "BOOLEAN") | s.startswith("ARRAY"), "other").otherwise("number")
+    return e.select("fichier", "ligne_id", "header", kind.alias("kind"), "text")
 
 
 def file_fields(parsed: DataFrame) -> DataFrame:
@@ -279,7 +273,9 @@ def schema_changes(raw: DataFrame, project: Sequence[Field] = PROJECT) -> DataFr
     against the preceding one delivered. changement is added, removed, renamed or retyped; one field can be renamed and
     retyped. A file's fields are the keys of its readable rows. The first file of an agency gives nothing, nor do files
     whose name holds no month; a field without non-null values on either side is not retyped. Empty input: no row."""
-    fields = materialise(match_files(file_fields(parse(raw)), project), "schema-fields")
+    # read by the layouts and by the comparison: parsed and counted once
+    fields = materialise(file_fields(parse(raw)), "schema-fields")
+    fields = materialise(match_files(fields, project), "schema-matches")
     agency, month = file_order()
     w = Window.partitionBy("_agency").orderBy("_month", "fichier")
     files = fields.select("fichier").distinct().select("fichier", agency.alias("_agency"), month.alias("_month")).where("_month IS NOT NULL")
