@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 def shape(c: Column) -> Column:
     """`GP852204890` -> `AA999999999`: A for A-Z, a for a-z, L for any other letter, 9 for a digit; the rest stands for itself."""
@@ -210,8 +212,9 @@ def drift(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None =
     """(load, colonne, constat): loads in which a column goes wrong - `range`, `pattern`, and against the agency's
     preceding load `nulls`, `distinct`, `distribution`. Shares are rounded to six decimals before they are compared;
     figures that need a value on either side give no row without one."""
-    values = long_values(df, spec) if values is None else values
-    prof = profile_loads(df, spec, values)
+    # read by each of the figures below: counted once, written once
+    values = materialise(long_values(df, spec), "load-values") if values is None else values
+    prof = materialise(profile_loads(df, spec, values), "load-profile")
     agency, running, month = _parts(spec)
     w = Window.partitionBy("agency").orderBy("running", spec.load)
     share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 6)
