@@ -80,7 +80,7 @@ BUILDERS: dict[str, Callable[[Statistic], Column]] = {
     "min": lambda s: F.min("y"),
     "max": lambda s: F.max("y"),
     # blocks come in the order of y: the first that reaches p has the least place; the last block always does
-    "quantile": lambda s: F.min_by("y", F.when((F.col("CW") / F.col("TW") >= s.p) | (F.col("_at") == F.col("_of")), F.col("_at"))),
+    "quantile": lambda s: F.min_by("y", F.when((F.try_divide("CW", "TW") >= s.p) | (F.col("_at") == F.col("_of")), F.col("_at"))),
     "gini": lambda s: _gini(),
     "gini_standard": lambda s: _gini(F.try_divide(F.sum(F.col("S2") * F.col("y")), F.max("TW") * F.max("TWY"))),
 }
