@@ -90,8 +90,9 @@ def with_intervals(df: DataFrame, keys: Sequence[str], y: str, w: str, alpha: fl
 
 def rubin(df: DataFrame, keys: Sequence[str], estimate: str, variance: str | None = None) -> DataFrame:
     """keys, m, estimate, within, between, variance, se. Without variances the total is the variance between imputations;
-    with them it is within + (1 + 1/m) between. One imputation has no variance between."""
-    b = F.coalesce(F.var_samp(estimate), F.lit(0.0))
+    with them it is within + (1 + 1/m) between. One imputation has no variance between,
+    none has null."""
+    b = F.when(F.count(estimate) >= 1, F.coalesce(F.var_samp(estimate), F.lit(0.0)))
     out = df.groupBy(*keys).agg(F.count(estimate).alias("m"), F.avg(estimate).alias("estimate"), (F.avg(variance) if variance else F.lit(None).cast("double")).alias("within"), b.alias("between"))
     total = F.col("within") + (1 + 1 / F.col("m")) * F.col("between") if variance else F.col("between")
     return out.withColumn("variance", total).withColumn("se", F.sqrt("variance"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import fill, profile, schema_drift, sketch, snapshots, spikes
 from ..session import table
+from .dealt_sql import GROUPS, ORACLE, PS
 
-PS = {"p10": 0.1, "q1": 0.25, "mediane": 0.5, "q3": 0.75, "p90": 0.9, "p99": 0.99}
-GROUPS = ("sexe", "cl_red_age_employe", "secteur_activite_cod", "commune", "numero_employeur")
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -86,8 +86,6 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
     return fill.filled_cells(table(spark, d, "base_analytique"), table(spark, d, "panel_employeur"))
 
 
-from .dealt_sql import ORACLE  # noqa: E402
-
 QUERIES = {
     f.__name__: f
     for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p5_percentiles, p6_found, p6_values)

@@ -198,7 +198,7 @@ _FM = """m AS (SELECT numero_employeur, annee, mois, count(*) n_salaries, count(
 sum(salaire_brut) salaire_total, min(salaire_brut) salaire_min, max(salaire_brut) salaire_max, stddev_samp(salaire_brut) salaire_sd, arg_min(commune, ligne_id) FILTER (commune IS NOT NULL) commune, avg((sexe = 'F')::INT) pct_femmes
 FROM declarations GROUP BY 1, 2, 3)"""
 _PANEL = f"""{_FM}, g AS (SELECT * FROM (SELECT DISTINCT numero_employeur FROM m), (SELECT DISTINCT annee, mois FROM m)),
-p AS (SELECT g.*, m.* EXCLUDE (numero_employeur, annee, mois), CASE WHEN m.n_salaries IS NULL THEN 0 ELSE 1 END d_jt, ln(1 + salaire_moyen) log_y_bar_jt FROM g LEFT JOIN m USING (numero_employeur, annee, mois))"""
+p AS (SELECT g.*, m.* EXCLUDE (numero_employeur, annee, mois), CASE WHEN m.n_salaries IS NULL THEN 0 ELSE 1 END d_jt, CASE WHEN salaire_moyen > -1 THEN ln(1 + salaire_moyen) END log_y_bar_jt FROM g LEFT JOIN m USING (numero_employeur, annee, mois))"""
 
 
 def _months(s, d):
@@ -206,11 +206,12 @@ def _months(s, d):
 
 
 @query(
-    f"WITH {_FM} SELECT numero_employeur, annee, mois, n_salaries, n_salaries_distincts, round(salaire_moyen, 2) salaire_moyen, round(salaire_median, 2) salaire_median, round(salaire_total, 2) salaire_total, salaire_min, salaire_max, round(salaire_sd, 2) salaire_sd, commune, round(pct_femmes, 6) pct_femmes FROM m"
+    f"WITH {_FM} SELECT numero_employeur, annee, mois, n_salaries, n_salaries_distincts, round(salaire_moyen, 6) salaire_moyen, salaire_median, round(salaire_total, 2) salaire_total, salaire_min, salaire_max, round(salaire_sd, 3) salaire_sd, commune, round(pct_femmes, 6) pct_femmes FROM m"
 )
 def agg01_to_agg03_firm_month(s, d):
     m = _months(s, d).drop("log_y_bar_jt", "d_jt")
-    return m.select(*[F.round(c, 6 if c == "pct_femmes" else 2).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes])
+    n = {"pct_femmes": 6, "salaire_moyen": 6, "salaire_total": 2, "salaire_sd": 3}
+    return m.select(*[F.round(c, n[c]).alias(c) if c in n else F.col(c) for c in m.columns])
 
 
 @query(f"WITH {_PANEL} SELECT numero_employeur, annee, mois, n_salaries, d_jt FROM p")
@@ -258,11 +259,11 @@ _OUT = "round(n_weighted, 6) n_weighted, round(mean, 4) mean, round(variance, -3
 
 def _stat_sql(keys: str, source: str, where: str = "", having: str = "") -> str:
     k = keys
-    q = lambda p: f"(list(y ORDER BY a) FILTER (cw / tw >= {p} OR a = n))[1]"
+    q = lambda p: f"(list(y ORDER BY a) FILTER (cw / nullif(tw, 0) >= {p} OR a = n))[1]"
     return f"""{source}, o AS (SELECT *, sum(w) OVER r cw, sum(w * y) OVER r cwy, sum(w) OVER g tw, sum(w * y) OVER g twy, row_number() OVER r a, count(*) OVER g n FROM (SELECT {k}, y::DOUBLE y, w::DOUBLE w, ligne_id FROM src {where})
 WINDOW g AS (PARTITION BY {k}), r AS (PARTITION BY {k} ORDER BY y NULLS LAST, ligne_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-c AS (SELECT *, twy / tw mu, sum(w * w) OVER (PARTITION BY {k}, y) s2, sum(w) OVER (PARTITION BY {k}, y) bw, max(cwy) OVER (PARTITION BY {k}, y) ecwy, row_number() OVER (PARTITION BY {k}, y ORDER BY ligne_id) t FROM o),
-e AS (SELECT {k}, count(*) n_obs, sum(w) n_weighted, max(mu) mean, sum(w * (y - mu) * (y - mu)) / max(tw) variance, min(y) AS min, max(y) AS max, {q(0.25)} q1, {q(0.5)} median, {q(0.75)} q3, {q(0.1)} p10, {q(0.9)} p90,
+c AS (SELECT *, twy / nullif(tw, 0) mu, sum(w * w) OVER (PARTITION BY {k}, y) s2, sum(w) OVER (PARTITION BY {k}, y) bw, max(cwy) OVER (PARTITION BY {k}, y) ecwy, row_number() OVER (PARTITION BY {k}, y ORDER BY ligne_id) t FROM o),
+e AS (SELECT {k}, count(*) n_obs, sum(w) n_weighted, max(mu) mean, sum(w * (y - mu) * (y - mu)) / nullif(max(tw), 0) variance, min(y) AS min, max(y) AS max, {q(0.25)} q1, {q(0.5)} median, {q(0.75)} q3, {q(0.1)} p10, {q(0.9)} p90,
 CASE WHEN count(*) >= 2 AND count(y) = count(*) THEN 1 - 2 * sum(CASE WHEN t = 1 THEN bw * (ecwy - bw * y) + y * (bw * bw + s2) / 2 END) / nullif(max(tw) * max(twy), 0) END gini FROM c GROUP BY {k})
 SELECT {k}, n_obs, {_OUT} FROM e {having}"""
 
@@ -528,10 +529,10 @@ _LAST = f"{_B}, l AS (SELECT id_indiv, period, y, secteur_activite_cod c, annee
 
 @query(
     f"""WITH {_LAST}, k AS (SELECT *, lag(y) OVER w p, lag(i) OVER w j FROM l WINDOW w AS (PARTITION BY id_indiv ORDER BY period)), e AS (SELECT id_indiv, max(y) FILTER (period = '2024_01') a, max(y) FILTER (period = '2025_06') z, avg(y) m, min(y) lo, max(y) hi, count(y) n, coalesce(sum((y <> p AND j = i - 1)::INT), 0)::BIGINT ch FROM k GROUP BY 1)
-SELECT id_indiv, round(z - a, 4) y_change, round((z - a) / nullif(a, 0) * 100, 4) y_growth_pct, round(m, 4) y_mean, lo y_min, hi y_max, ch y_n_changes, n y_n_obs FROM e"""
+SELECT id_indiv, round(z - a, 6) y_change, round((z - a) / nullif(a, 0) * 100, 6) y_growth_pct, round(m, 6) y_mean, lo y_min, hi y_max, ch y_n_changes, n y_n_obs FROM e"""
 )
 def rsh03_rsh05_numeric_dynamics(s, d):
-    return rounded(reshape.numeric_dynamics(_base(s, d), "id_indiv", "period", "y", MONTHS, ["ligne_id"]))
+    return rounded(reshape.numeric_dynamics(_base(s, d), "id_indiv", "period", "y", MONTHS, ["ligne_id"]), 6)
 
 
 @query(
