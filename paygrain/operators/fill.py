@@ -23,7 +23,6 @@ from . import mixture
 
 #: Sections A to U of the activity code, then anything else.
 SECTIONS = 22
-FRAME = {"wx": 0.5, "ex": 0.5, "x": 0.25}
 
 
 @dataclass(frozen=True)
@@ -58,13 +57,7 @@ def fill_base(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules())
     other cell is missing, null included, and is filled if another row of its worker (wages: or of its usable employer)
     has a usable one. Rows that lack a worker have no worker's rows. Other columns pass through; copies of a row are
     other rows of it. Empty tables give empty results."""
-    d = _with_groups(base, panel, rules)
-    d = materialise(d, "fill-base")
-    m = _fit_wages(d, rules)
-    missing = d.where("(_x IS NULL AND (_w_n > 0 OR _e_n > 0)) OR (_emp IS NULL AND size(_who) > 0)")
-    filled = missing.select("ligne_id", "_x", "_emp", "_wx", "_ex", "_sec", "_sex", "_w_n", "_e_n", "_who").mapInPandas(
-        _fill_rows(m), "ligne_id bigint, _x double, _emp string"
-    )
+    d, filled = _filled_rows(base, panel, rules)
     keys = filled.select("ligne_id", F.col("_x").alias("_fx"), F.col("_emp").alias("_fe"))
     own = base.select("*", F.when(base["salaire_brut_mens"].between(rules.least, rules.most), base["salaire_brut_mens"]).alias("_ux"))
     out = own.join(d.select("ligne_id", F.col("_emp").alias("_ue")), "ligne_id").join(keys, "ligne_id", "left")
@@ -79,12 +72,7 @@ def fill_base(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules())
 
 def filled_cells(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules()) -> DataFrame:
     """(nom_table, ligne_id, champ, valeur text): the cells that are filled, by the same steps as the full tables."""
-    d = materialise(_with_groups(base, panel, rules), "fill-base")
-    m = _fit_wages(d, rules)
-    missing = d.where("(_x IS NULL AND (_w_n > 0 OR _e_n > 0)) OR (_emp IS NULL AND size(_who) > 0)")
-    filled = missing.select("ligne_id", "_x", "_emp", "_wx", "_ex", "_sec", "_sex", "_w_n", "_e_n", "_who").mapInPandas(
-        _fill_rows(m), "ligne_id bigint, _x double, _emp string"
-    )
+    _, filled = _filled_rows(base, panel, rules)
     cell = F.explode(
         F.array(
             F.struct(F.lit("salaire_brut_mens").alias("champ"), F.col("_x").cast("string").alias("valeur")),
@@ -97,6 +85,15 @@ def filled_cells(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules
     return a.unionByName(b)
 
 
+def _filled_rows(base: DataFrame, panel: DataFrame, rules: FillRules) -> tuple[DataFrame, DataFrame]:
+    """Rows with their groups, and (ligne_id, _x, _emp) of the rows in which a wage or employer is filled."""
+    d = materialise(_with_groups(base, panel, rules), "fill-base")
+    m = _fit_wages(d, rules)
+    missing = d.where("(_x IS NULL AND (_w_n > 0 OR _e_n > 0)) OR (_emp IS NULL AND size(_who) > 0)")
+    use = missing.select("ligne_id", "_x", "_emp", "_wx", "_ex", "_sec", "_sex", "_w_n", "_e_n", "_who")
+    return d, use.mapInPandas(_fill_rows(m), "ligne_id bigint, _x double, _emp string")
+
+
 def _with_groups(base: DataFrame, panel: DataFrame, rules: FillRules) -> DataFrame:
     """ligne_id, usable wage as log (_x) and employer (_emp), and what other rows show: their number and mean log wage
     per worker (_w_n, _wx) and employer (_e_n, _ex), the worker's other employers (_who, at most one per section)."""

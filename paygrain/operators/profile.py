@@ -7,9 +7,9 @@ cost of an expression is the bits to write it plus, for each distinct value it t
 those it allows; the selection goes greedily through the candidates, ordered by cost saved against writing the values
 out, and takes those that lower the total. Values no selected expression takes stay literal: they are nonconforming.
 
-Shape counts are aggregated before anything is collected; what reaches the driver is the candidate table of one column,
-bounded by `most` shapes by coverage (rarer shapes cannot pay for their expression and are nonconforming either way:
-they are still counted, per load, in the distributed tables).
+Shapes are counted distributed. What reaches the driver for a column are the shapes that alone carry an expression's least
+share, and the rest as sums per form with open lengths, or per merged form - at most a few hundred rows however many
+shapes there are, since a form under the least share cannot be selected.
 """
 
 from __future__ import annotations
@@ -74,37 +74,39 @@ class Expression:
     values: int
 
 
-def induce(counts: Sequence[tuple[str, int]], literal_bits: float = 8.0) -> list[Expression]:
-    """Expressions of a column from (shape, distinct values), by description length; empty without values.
+#: An expression has to carry at least one value in so many; rarer forms are exceptions.
+LEAST = 200
 
-    The number of values a shape has enters as it is: a shape with few values cannot pay for an expression of its own
-    unless it saves more than the expression costs."""
+
+def induce(counts: Sequence[tuple], literal_bits: float = 8.0, total: int | None = None) -> list[Expression]:
+    """Expressions of a column from (shape, distinct values[, level]), by description length; empty without values. level:
+    0 for a shape, 1 or 2 for a sum over the shapes of one form with open lengths or merged classes, for which the shape
+    given stands. total: distinct values of the column, if the counts leave some out."""
     by: dict[str, list] = {}
-    # an exact shape covers itself; looser expressions cover every shape that generalises to them
-    for s, n in counts:
+    rows = [(c[0], c[1], c[2] if len(c) > 2 else 0) for c in counts]
+    for k, (s, n, from_) in enumerate(rows):
         raw = (literal_bits * len(s) + 2) * n
         for level, (rx, cost, bits) in enumerate(expressions(s)):
-            e = by.setdefault(rx, [level, cost, {}])
-            e[2][s] = (n, raw, bits * n)
-    total = max(1, sum(n for _, n in counts))
+            if level >= from_:
+                by.setdefault(rx, [level, cost, {}])[2][k] = (n, raw, bits * n)
+    total = max(1, sum(n for _, n, _ in rows)) if total is None else max(1, total)
     chosen: list[Expression] = []
-    left = {s for s, _ in counts}
+    left = set(range(len(rows)))
     while left:
         best, gain = None, 0.0
         for rx, (level, cost, cover) in by.items():
-            own = [s for s in cover if s in left]
+            own = [k for k in cover if k in left]
             if not own:
                 continue
-            n = sum(cover[s][0] for s in own)
+            n = sum(cover[k][0] for k in own)
             # naming the expression for each value costs the code length of its share
             name = -math.log2(n / (total + 1)) * n
-            saved = sum(cover[s][1] - cover[s][2] for s in own) - cost - name - level * math.log2(total + 1) * len(own)
-            # rare forms are exceptions: an expression has to carry at least one value in two hundred
-            if n * 200 >= total and saved > gain:
+            saved = sum(cover[k][1] - cover[k][2] for k in own) - cost - name - level * math.log2(total + 1) * len(own)
+            if n * LEAST >= total and saved > gain:
                 best, gain = (rx, own, n), saved
         if best is None:
             break
-        chosen.append(Expression(best[0], frozenset(best[1]), best[2]))
+        chosen.append(Expression(best[0], frozenset(rows[k][0] for k in best[1]), best[2]))
         left -= set(best[1])
     return chosen
 
@@ -128,7 +130,6 @@ class LoadSpec:
     distinct_gap: float = 0.2
     distribution_gap: float = 0.25
     month_gap: float = 0.2
-    most: int = 5000
 
 
 def _parts(spec: LoadSpec) -> tuple[Column, Column, Column]:
@@ -199,13 +200,29 @@ def induced(values: DataFrame, columns: Sequence[str], spec: LoadSpec = LoadSpec
         .groupBy("colonne", shape(F.col("v")).alias("shape"))
         .agg(F.count("*").alias("n"))
     )
-    w = Window.partitionBy("colonne").orderBy(F.desc("n"), "shape")
-    kept = shapes.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= spec.most).drop("_r").collect()
+    shapes = shapes.withColumn("loose", _collapsed(F.col("shape")))
+    shapes = materialise(shapes.withColumn("word", F.regexp_replace("loose", "[AaL9]+", "w")), "load-shapes")
+    totals = shapes.groupBy("colonne").agg(F.sum("n").alias("total"))
+    rare = lambda d: d.join(F.broadcast(totals), "colonne").where(F.col("n") * LEAST < F.col("total")).drop("total")  # one row per column
+    often = lambda d: d.join(F.broadcast(totals), "colonne").where(F.col("n") * LEAST >= F.col("total")).drop("total")
+    stands = lambda d, *keys: d.groupBy("colonne", *keys).agg(F.max_by("shape", F.struct("n", "shape")).alias("shape"), F.sum("n").alias("n"))
+    rest = stands(rare(shapes), "word", "loose")
+    last = stands(rare(rest), "word")
+    kept = often(shapes).select("colonne", "shape", "n", F.lit(0).alias("level"))
+    for d, level in ((often(rest), 1), (often(last), 2)):
+        kept = kept.unionByName(d.select("colonne", "shape", "n", F.lit(level).alias("level")))
     back = lambda s: s.replace("\u0001", "\\").replace("\u0002", "{").replace("\u0003", "}")
-    by: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-    for r in kept:
-        by[r["colonne"]].append((back(r["shape"]), r["n"]))
-    return {c: induce(v) for c, v in by.items()}
+    by: dict[str, list[tuple[str, int, int]]] = {c: [] for c in columns}
+    for r in kept.orderBy("colonne", "level", F.desc("n"), "shape").collect():
+        by[r["colonne"]].append((back(r["shape"]), r["n"], r["level"]))
+    total = {r["colonne"]: r["total"] for r in totals.collect()}
+    return {c: induce(v, total=total.get(c)) for c, v in by.items()}
+
+
+def _collapsed(s: Column) -> Column:
+    for c in "Aa9L":
+        s = F.regexp_replace(s, f"{c}+", c)
+    return s
 
 
 def drift(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None = None) -> DataFrame:

@@ -34,6 +34,11 @@ def ship(spark: SparkSession) -> SparkSession:
             for p in sorted(at.rglob("*.py")):
                 z.write(p, f"paygrain/{p.relative_to(at)}")
         sc.addPyFile(str(to))
+        # long texts must not add up to huge Arrow batches
+        if not spark.conf.isModifiable("spark.sql.execution.arrow.maxBytesPerBatch"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        else:
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
         sc._paygrain_shipped = True
     return spark
 
