@@ -15,6 +15,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .spread import spread
+
 #: The pattern that cuts text into pieces before any merge (fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered per worker before the memory is emptied.
@@ -176,8 +178,8 @@ def load(path: str) -> Bpe:
 def encode_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, ids): a row for every row of docs, ids without special tokens; the strings of special tokens in a text are
     ordinary text. An empty or null text has an empty list, never null; blank text has the ids of its blanks. Repeated
-    rows are encoded each. path: the vocabulary file, present on every executor; nothing of it is copied. Narrow: no
-    shuffle, batches stream through, other columns are not read."""
+    rows are encoded each. path: the vocabulary file, present on every executor; nothing of it is copied. Narrow but for a
+    table of fewer splits than cores, which is dealt out first; batches stream through, other columns are not read."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,4 +194,4 @@ def encode_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[key, "ids"])
 
     kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return spread(docs.select(key, text)).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
