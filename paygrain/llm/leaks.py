@@ -120,40 +120,42 @@ class Automaton:
         return found
 
     def overlap(self, ids: list[int], item: int, enough: int) -> int:
-        """Words of the item held in its order, in stretches; counting stops at enough."""
-        k = self.stretch
-        p = self.items[item]
+        """The most words of the item that the document holds in its order, in disjoint stretches; counting stops at
+        enough. A stretch that ends at a pair of places is the one that ended a word before, grown by a word, or a new
+        one after the best chain that ends before it in both; those are kept in a tree of maxima over the passage."""
+        k, p = self.stretch, self.items[item]
         grams = self._grams.get(item)
         if grams is None:
             grams = self._grams[item] = {}
             for i in range(len(p) - k + 1):
                 grams.setdefault(tuple(p[i : i + k]), []).append(i)
-        runs: dict[int, list[int]] = {}  # diagonal -> [start in document, end]
-        done: list[tuple[int, int, int]] = []  # start in document, start in passage, length
+        tree = [0] * (len(p) + 1)
+        before: dict[int, int] = {}
+        waiting: list[tuple[int, list[tuple[int, int]]]] = []
+        done = top = 0
         for j in range(len(ids) - k + 1):
-            for i in grams.get(tuple(ids[j : j + k]), ()):
-                r = runs.get(j - i)
-                if r is not None and r[1] == j + k - 1:
-                    r[1] = j + k
-                else:
-                    if r is not None:
-                        done.append((r[0], r[0] - (j - i), r[1] - r[0]))
-                    runs[j - i] = [j, j + k]
-        done += [(a, a - d, b - a) for d, (a, b) in runs.items()]
-        done.sort()
-        best: list[int] = []
-        top = 0
-        for x, (d, q, n) in enumerate(done):
-            b = n
-            for y in range(x):
-                e, r, m = done[y]
-                lost = max(0, e + m - d, r + m - q)
-                if e < d and r < q and n - lost >= k and best[y] + n - lost > b:
-                    b = best[y] + n - lost
-            best.append(b)
-            top = max(top, b)
+            hits = grams.get(tuple(ids[j : j + k]))
+            if not hits:
+                before = {}
+                continue
+            while done < len(waiting) and waiting[done][0] <= j - k:
+                for end, v in waiting[done][1]:
+                    while end <= len(p):
+                        tree[end] = max(tree[end], v)
+                        end += end & -end
+                done += 1
+            now = {}
+            for i in hits:
+                best, at = 0, i
+                while at > 0:
+                    best = max(best, tree[at])
+                    at -= at & -at
+                now[i] = max(best + k, before.get(i - 1, 0) + 1)
+                top = max(top, now[i])
             if top >= enough:
                 return top
+            waiting.append((j, [(i + k, v) for i, v in now.items()]))
+            before = now
         return top
 
 

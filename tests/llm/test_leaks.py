@@ -64,7 +64,7 @@ def brute(doc, passage, k):
     return best[0][0]
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.integers(0, 10**6))
 def test_against_brute_force(seed):
     r = random.Random(seed)
@@ -80,6 +80,4 @@ def test_against_brute_force(seed):
     near = {i for i in items if any(items[i][x : x + 3] == doc[y : y + 3] for x in range(len(items[i]) - 2) for y in range(len(doc) - 2))}
     assert a.candidates(ids) == near
     for i in near:
-        want = brute(doc, items[i], 3)
-        got = a.overlap(ids, i, 10**9)
-        assert got <= want and (got >= want or want - got <= 2)
+        assert a.overlap(ids, i, 10**9) == brute(doc, items[i], 3)
