@@ -112,7 +112,7 @@ def flt06_complete_cases(s, d):
 
 
 @query(
-    "WITH " + _CLEAN + " SELECT d_jt, count(*) n, count(salaire_moyen) with_wage FROM panel_employeur WHERE d_jt IN (0, 1) GROUP BY 1"
+    "SELECT d_jt, count(*) n, count(salaire_moyen) with_wage FROM panel_employeur WHERE d_jt IN (0, 1) GROUP BY 1"
 )
 def flt10_declarants(s, d):
     p = table(s, d, "panel_employeur").where(F.col("d_jt").isin(0, 1))
@@ -734,6 +734,75 @@ def joi12_compare_runs(s, d):
     return rounded(refjoin.compare_runs(one(2024), one(2025), ["sexe"], ["m", "n"]), 6)
 
 
+# --- further column and set operations -------------------------------------------------------------------------------
+
+
+@query("SELECT ligne_id, numero_employeur AS employeur, mois, annee FROM declarations")
+def prj02_to_prj06_columns(s, d):
+    x = _decl(s, d).withColumns({"tmp_a": F.lit(1), "tmp_b": F.lit(2)})
+    x = clean.drop_prefixed(clean.keep_columns(x, ["mois", "annee", "tmp_a", "tmp_b", "absent"], ["ligne_id", "numero_employeur"]), "tmp_")
+    x = x.drop("absent").withColumnsRenamed({"numero_employeur": "employeur", "absent": "x"})
+    return x.select(*reshape.order_columns(x.columns, [], ["ligne_id", "employeur"]))
+
+
+@query("SELECT * FROM (SELECT coalesce(id_indiv, 'NA') || '_' || coalesce(numero_employeur, 'NA') || '_' || printf('%d_%02d', annee, mois) obs_id, ligne_id, 1.0::DOUBLE w_final FROM declarations QUALIFY row_number() OVER (PARTITION BY obs_id ORDER BY ligne_id) = 1)")
+def prj11_individual_base(s, d):
+    x = _decl(s, d).withColumn("period", dates.period(F.col("annee"), F.col("mois")))
+    return panel.individual_base(x.select("ligne_id", "id_indiv", "numero_employeur", "period")).select("obs_id", "ligne_id", "w_final")
+
+
+@query("SELECT ligne_id FROM base_analytique WHERE salaire_brut_mens IS NOT NULL AND sexe IS NOT NULL AND annee IS NOT NULL AND mois IS NOT NULL")
+def flt11_report_rows(s, d):
+    return table(s, d, "base_analytique").where("salaire_brut_mens IS NOT NULL").dropna(subset=["sexe", "annee", "mois"], how="any").select("ligne_id")
+
+
+@query(f"WITH {_LOOK} SELECT b.ligne_id, k.secteur_activite_cod secteur_activite_cod_ext, coalesce(k.secteur_activite_cod, b.secteur_activite_cod) sector_code FROM base_analytique b LEFT JOIN k ON nullif(trim(b.numero_employeur), '') = k.e")
+def joi06_sector_code(s, d):
+    b = table(s, d, "base_analytique").select("ligne_id", "numero_employeur", "secteur_activite_cod")
+    j = refjoin.join_exact(b, table(s, d, "secteurs_employeurs"), "numero_employeur", suffix="_ext")
+    return j.select("ligne_id", "secteur_activite_cod_ext", F.coalesce("secteur_activite_cod_ext", "secteur_activite_cod").alias("sector_code"))
+
+
+@query("SELECT column_name AS \"column\", 'missing' AS change FROM (DESCRIBE declarations) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE base_analytique)) UNION ALL SELECT column_name, 'extra' FROM (DESCRIBE base_analytique) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE declarations))")
+def set03_qc02_qc03_schema_differences(s, d):
+    r = audit.schema_differences([("declarations", _decl(s, d)), ("base_analytique", table(s, d, "base_analytique"))])[0]
+    return s.createDataFrame([(c, k) for k in ("missing", "extra") for c in r[k]], "`column` string, change string")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN greatest(10, least(40, p_size)) END AS clamped, sqrt(p_size) root, abs(p_size - 25) away FROM part")
+def mth01_mth02_clamp(s, d):
+    size = F.when(F.col("p_size") % 7 != 0, F.col("p_size"))
+    return table(s, d, "part").select("p_partkey", mathx.clamp(size, F.lit(10), F.lit(40)).alias("clamped"), F.sqrt("p_size").alias("root"), F.abs(F.col("p_size") - 25).alias("away"))
+
+
+@query()
+def mth03_student_quantiles(s, d):
+    return s.range(1, 41).select(F.col("id").alias("df"), intervals.t_quantile(0.975, F.col("id").cast("double")).alias("t"))
+
+
+@query(f"WITH {_B}, a AS (SELECT sexe, y, sum(w)::DOUBLE w FROM b WHERE y IS NOT NULL GROUP BY ALL) SELECT sexe, y, round(sum(w) OVER r / sum(w) OVER g, 9) cdf, round(sum(w * y) OVER r / sum(w * y) OVER g, 9) lorenz FROM a WINDOW g AS (PARTITION BY sexe), r AS (PARTITION BY sexe ORDER BY y)")
+def win10_cumulated_shares(s, d):
+    p = stats._placed(stats.blocks(_base(s, d).where("y IS NOT NULL"), ["sexe"], "y", "w"), ["sexe"])
+    return p.select("sexe", "y", F.round(F.col("CW") / F.col("TW"), 9).alias("cdf"), F.round(F.col("CWY") / F.col("TWY"), 9).alias("lorenz"))
+
+
+@query("SELECT numero_employeur, arg_max(ligne_id, (annee, mois)) ligne_id FROM panel_employeur GROUP BY 1")
+def srt01_srt04_latest(s, d):
+    return table(s, d, "panel_employeur").groupBy("numero_employeur").agg(F.max_by("ligne_id", F.struct("annee", "mois")).alias("ligne_id"))
+
+
+@query("SELECT b.ligne_id, k.numero_employeur premier_employeur FROM base_analytique b LEFT JOIN (SELECT id_indiv, numero_employeur FROM base_analytique QUALIFY row_number() OVER (PARTITION BY id_indiv ORDER BY period, ligne_id) = 1) k USING (id_indiv)")
+def joi13_invariants_back(s, d):
+    first = rsh02_invariants(s, d).withColumnRenamed("numero_employeur", "premier_employeur")
+    return table(s, d, "base_analytique").join(first, "id_indiv", "left").select("ligne_id", "premier_employeur")
+
+
+@query()
+def agg09_usual_gini(s, d):
+    """A statistic added by a catalogue entry."""
+    return stats.group_statistics(_base(s, d).where("y IS NOT NULL"), ["secteur_activite_cod", "annee"], "y", "w", [catalog.Statistic("gini", "gini", ""), catalog.Statistic("usual", "gini_standard", "")])
+
+
 # --- intake ----------------------------------------------------------------------------------------------------------
 
 
