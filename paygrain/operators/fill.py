@@ -56,18 +56,20 @@ def fill_base(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules())
     numero_employeur_est_rempli. A wage is usable from rules.least to rules.most, an employer if it is in the panel; any
     other cell is missing, null included, and is filled if another row of its worker (wages: or of its usable employer)
     has a usable one. Rows that lack a worker have no worker's rows. Other columns pass through; copies of a row are
-    other rows of it. Empty tables give empty results."""
+    other rows of it. ligne_id is unique; columns that bear the new names are replaced. Empty tables give empty results."""
     d, filled = _filled_rows(base, panel, rules)
     keys = filled.select("ligne_id", F.col("_x").alias("_fx"), F.col("_emp").alias("_fe"))
-    own = base.select("*", F.when(base["salaire_brut_mens"].between(rules.least, rules.most), base["salaire_brut_mens"]).alias("_ux"))
-    out = own.join(d.select("ligne_id", F.col("_emp").alias("_ue")), "ligne_id").join(keys, "ligne_id", "left")
-    return out.select(
-        *[out[c] for c in base.columns],
-        F.coalesce("_ux", "_fx").alias("salaire_brut_mens_rempli"),
-        (F.col("_ux").isNull() & F.col("_fx").isNotNull()).alias("salaire_brut_mens_est_rempli"),
-        F.coalesce("_ue", "_fe").alias("numero_employeur_rempli"),
-        (F.col("_ue").isNull() & F.col("_fe").isNotNull()).alias("numero_employeur_est_rempli"),
-    )
+    # the row travels whole, so that its columns may have any name
+    row = base.select("ligne_id", F.struct(*base.columns).alias("_row"))
+    out = row.join(d.select("ligne_id", F.col("_emp").alias("_ue")), "ligne_id").join(keys, "ligne_id", "left")
+    wage = usable_wage(F.col("_row.salaire_brut_mens"), rules)
+    new = {
+        "salaire_brut_mens_rempli": F.coalesce(wage, "_fx"),
+        "salaire_brut_mens_est_rempli": wage.isNull() & F.col("_fx").isNotNull(),
+        "numero_employeur_rempli": F.coalesce("_ue", "_fe"),
+        "numero_employeur_est_rempli": F.col("_ue").isNull() & F.col("_fe").isNotNull(),
+    }
+    return out.select(*[F.col(f"_row.`{c}`") for c in base.columns if c not in new], *[e.alias(k) for k, e in new.items()])
 
 
 def filled_cells(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules()) -> DataFrame:
@@ -80,8 +82,7 @@ def filled_cells(base: DataFrame, panel: DataFrame, rules: FillRules = FillRules
         )
     )
     a = filled.select(F.lit("base_analytique").alias("nom_table"), "ligne_id", cell.alias("_c")).select("nom_table", "ligne_id", "_c.champ", "_c.valeur").where("valeur IS NOT NULL")
-    p = fill_panel(panel, rules).where("d_jt_est_rempli")
-    b = p.select(F.lit("panel_employeur").alias("nom_table"), "ligne_id", F.lit("d_jt").alias("champ"), F.col("d_jt_rempli").cast("string").alias("valeur"))
+    b = _filled_flags(panel, rules).select(F.lit("panel_employeur").alias("nom_table"), "ligne_id", F.lit("d_jt").alias("champ"), F.col("_f").cast("string").alias("valeur"))
     return a.unionByName(b)
 
 
@@ -174,26 +175,37 @@ def fill_panel(panel: DataFrame, rules: FillRules = FillRules()) -> DataFrame:
     """panel with d_jt_rempli and d_jt_est_rempli. A flag is usable if 0 or 1; a missing one is filled, with the mode of
     its distribution given its employer's rate in other months, the nearest usable months, the presence of figures and
     the section, if another month of its employer has a usable one."""
-    ok = F.when(F.col("d_jt").isin(*rules.flags), F.col("d_jt").cast("int"))
-    firm = Window.partitionBy("numero_employeur")  # an employer's months; bounded by the calendar, the panel being balanced
-    line = firm.orderBy("annee", "mois", "ligne_id")
-    p = panel.withColumn("_d", ok)
-    has = F.col("_d").isNotNull().cast("int")
-    p = p.withColumn("_n", F.count("_d").over(firm) - has).withColumn("_s", F.coalesce(F.sum("_d").over(firm), F.lit(0)) - F.coalesce("_d", F.lit(0)))
-    p = p.withColumn("_rate", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))
-    before = F.last("_d", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first("_d", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
+    row = panel.select("ligne_id", F.struct(*panel.columns).alias("_row")).join(_filled_flags(panel, rules), "ligne_id", "left")
+    ok = F.when(F.col("_row.d_jt").isin(*rules.flags), F.col("_row.d_jt").cast("int"))
+    new = {"d_jt_rempli": F.coalesce(ok, "_f"), "d_jt_est_rempli": F.col("_f").isNotNull()}
+    return row.select(*[F.col(f"_row.`{c}`") for c in panel.columns if c not in new], *[e.alias(k) for k, e in new.items()])
+
+
+def _filled_flags(panel: DataFrame, rules: FillRules) -> DataFrame:
+    """(ligne_id, _f) of the rows whose flag is filled."""
     figures = [c for c in ("n_salaries", "salaire_total", "salaire_moyen", "log_y_bar_jt") if c in panel.columns]
     some = F.lit(False)
     for c in figures:
         some = some | F.col(c).isNotNull()
-    p = p.withColumn("_before", F.when(F.col("numero_employeur").isNotNull(), before)).withColumn("_after", F.when(F.col("numero_employeur").isNotNull(), after))
-    p = p.withColumn("_some", some.cast("int")).withColumn("_sec", section("secteur_activite_cod"))
-    p = p.withColumn("_need", F.col("_d").isNull() & (F.col("_n") > 0) & F.col("numero_employeur").isNotNull())
+    ok = F.when(F.col("d_jt").isin(*rules.flags), F.col("d_jt").cast("int"))
+    p = panel.where("numero_employeur IS NOT NULL").select(
+        "ligne_id", "numero_employeur", "annee", "mois", ok.alias("_d"), some.cast("int").alias("_some"), section("secteur_activite_cod").alias("_sec")
+    )
+    firm = Window.partitionBy("numero_employeur")  # an employer's months; bounded by the calendar, the panel being balanced
+    line = firm.orderBy("annee", "mois", "ligne_id")
+    has = F.col("_d").isNotNull().cast("int")
+    p = p.select(
+        "*",
+        (F.count("_d").over(firm) - has).alias("_n"),
+        (F.coalesce(F.sum("_d").over(firm), F.lit(0)) - F.coalesce("_d", F.lit(0))).alias("_s"),
+        F.last("_d", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_d", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    ).withColumn("_rate", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))
     p = materialise(p, "fill-panel")
     levels = {"_d": 2, "_before": 2, "_after": 2, "_some": 2, "_sec": SECTIONS}
     c = materialise(mixture.cells(p, ["_rate"], levels, {"_rate": 0.05}).coalesce(8), "fill-panel-cells")
     m = mixture.fit(c, ["_rate"], levels, rules.components, rules.steps)
+    need = p.where("_d IS NULL AND _n > 0").select("ligne_id", "_rate", *levels)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -201,11 +213,4 @@ def fill_panel(panel: DataFrame, rules: FillRules = FillRules()) -> DataFrame:
             cats = {k: b[k].fillna(-1).to_numpy(int) for k in levels}
             yield pd.DataFrame({"ligne_id": b["ligne_id"], "_f": m.distribution("_d", x, cats).argmax(1).astype("int32")})
 
-    need = p.where("_need")
-    filled = need.select("ligne_id", "_rate", *levels).mapInPandas(run, "ligne_id bigint, _f int") if m else need.select("ligne_id", F.lit(0).alias("_f")).where("false")
-    out = p.join(filled, "ligne_id", "left")
-    return out.select(
-        *[F.col(c) for c in panel.columns],
-        F.coalesce("_d", "_f").alias("d_jt_rempli"),
-        F.col("_f").isNotNull().alias("d_jt_est_rempli"),
-    )
+    return need.mapInPandas(run, "ligne_id bigint, _f int") if m else need.select("ligne_id", F.lit(0).alias("_f"))

@@ -45,6 +45,17 @@ def test_full_table_keeps_rows_and_columns(spark):
     assert r[2].salaire_brut_mens is None and r[2].salaire_brut_mens_est_rempli and r[2]._x == "clash"
 
 
+def test_clashing_columns_and_null_employers(spark):
+    names = ("_d", "_n", "_f", "_row", "_rate", "d_jt_rempli")
+    p = spark.createDataFrame([(1, "E1", 2024, 1, None, 5, 1), (2, "E1", 2024, 2, None, 5, None), (3, None, 2024, 1, None, 5, 1), (4, None, 2024, 2, None, 5, None)], PANEL).withColumns({c: F.lit("x") for c in names})
+    r = {x.ligne_id: x for x in fill.fill_panel(p).collect()}
+    assert [(k, r[k].d_jt_rempli, r[k].d_jt_est_rempli) for k in sorted(r)] == [(1, 1, False), (2, 1, True), (3, 1, False), (4, None, False)]
+    assert r[2]._d == r[2]._row == "x"
+    b = spark.createDataFrame([(1, "A", "E1", "C10", "F", 100.0), (2, "A", None, "C10", "F", None)], BASE).withColumns({c: F.lit("x") for c in (*names, "_fx", "_ue", "_emp", "salaire_brut_mens_rempli")})
+    out = {x.ligne_id: x for x in fill.fill_base(b, p).collect()}
+    assert out[2].numero_employeur_rempli == "E1" and out[2]._fx == "x" and isinstance(out[2].salaire_brut_mens_rempli, float)
+
+
 def test_empty(spark):
     assert cells(spark, spark.createDataFrame([], BASE), panel(spark, ())) == {}
 
