@@ -3,9 +3,9 @@
 Three judgements of a measurement:
 
 * tail: extreme-value fitting over a threshold. The residual of a value is its log ratio to the series' own median,
-  less the source's calendar-month effect. Absolute residuals of a source above their 90 % point are fitted with a
-  generalised Pareto law by probability-weighted moments; the value exceeded with the fixed risk is the source's
-  cutoff. Sources with few exceedances use the fit over all sources.
+  less the source's calendar-month effect. Absolute residuals of a source above their 90 % point, without those beyond
+  the plausible ratio, are fitted with a generalised Pareto law by probability-weighted moments; the value exceeded with
+  the fixed risk is the source's cutoff. Sources with few exceedances use the fit over all sources.
 * stuck: runs of one repeated value in a series, and periods in which all series of a source agree, unless repeats are
   normal for that source.
 * plausibility: signs and physical bounds.
@@ -44,7 +44,7 @@ class SpikeRules:
     repeats: float = 0.25
     width: float = 0.05
     tail: float = 0.9
-    few: int = 25
+    few: int = 12
     most_days: float = 31.0
     most_hours: float = 744.0
 
@@ -122,7 +122,9 @@ def tail_cutoffs(ser: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
     hist = hist.withColumn("season", F.sum(F.col("c") * clipped).over(by_cal) / (F.sum("c").over(by_cal) + 5))
     seasons = hist.groupBy("source", "champ", "cal").agg(F.first("season").alias("season"))
     eb = F.floor(F.abs(F.col("r") - F.col("season")) / rules.width)
-    per_source = hist.groupBy("source", "champ", eb.alias("e")).agg(F.sum("c").alias("c"))
+    # what is implausible by its ratio alone says nothing of the source's normal tail
+    normal = hist.where(F.abs("r") < top)
+    per_source = normal.groupBy("source", "champ", eb.alias("e")).agg(F.sum("c").alias("c"))
     common = per_source.groupBy("champ", "e").agg(F.sum("c").alias("c"))
     own = _pareto(per_source, ["source", "champ"], rules)
     shared = _pareto(common, ["champ"], rules).select("champ", F.col("cutoff").alias("common_cutoff"))
