@@ -141,3 +141,26 @@ def base_checks(df: DataFrame, key: str = "obs_id", wage: str = "salaire_brut_me
     g = df.groupBy(key).agg(F.count("*").alias("c"), F.sum(F.col(wage).isNull().cast("int")).alias("m"), F.sum((F.col(wage) == 0).cast("int")).alias("z"), F.sum((F.col(wage) < 0).cast("int")).alias("neg"))
     s = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return g.agg(s("c").alias("n"), (s("c") - F.count("*")).alias("repeated"), s("m").alias("wage_missing"), s("z").alias("wage_zero"), s("neg").alias("wage_negative"))
+
+
+def audit_tables(spark_frames: Sequence[tuple[str, DataFrame]], ident: str, numbers: Sequence[str]) -> dict[str, DataFrame]:
+    """The tables of an audit workbook over files given in their order: rows and copies, schema differences, fill rates,
+    outliers, identifiers, one row or few per file. Files without the columns asked for are left out of that table."""
+    spark = spark_frames[0][1].sparkSession
+    name = lambda n, d: d.select(F.lit(n).alias("file"), "*")
+
+    def stack(parts: list[DataFrame]) -> DataFrame | None:
+        out = None
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+        return out
+
+    differs = [(x["file"], kind, str(c)) for x in schema_differences(spark_frames) for kind in ("missing", "extra", "retyped") for c in x[kind]]
+    tables = {
+        "copies": stack([name(n, duplicate_rows(d)) for n, d in spark_frames]),
+        "schema": spark.createDataFrame(differs, "file string, change string, `column` string"),
+        "fill": stack([name(n, fill_profile(d)) for n, d in spark_frames]),
+        "outliers": stack([name(n, outliers(d, [c for c in numbers if c in d.columns])) for n, d in spark_frames if set(numbers) & set(d.columns)]),
+        "identifiers": stack([name(n, key_uniqueness(d, ident)) for n, d in spark_frames if ident in d.columns]),
+    }
+    return {k: v for k, v in tables.items() if v is not None}

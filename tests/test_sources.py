@@ -72,6 +72,18 @@ def test_reports_archive_newest_and_stages(spark, tmp_path):
     assert files.probe(d, 1)[1].count() == 1
 
 
+def test_audit_workbook(spark, tmp_path):
+    from paygrain.operators.audit import audit_tables
+
+    a = spark.createDataFrame([("x", 1.0), ("x", 1.0), (None, 2.0)], "id string, v double")
+    b = spark.createDataFrame([("y", "1")], "id string, v string").withColumn("z", F.lit(1))
+    t = audit_tables([("01", a), ("02", b)], "id", ["v", "absent"])
+    files.write_report(str(tmp_path / "audit.xlsx"), t, {"files": 2})
+    assert xlsx.sheet_names(tmp_path / "audit.xlsx") == ["copies", "schema", "fill", "outliers", "identifiers", "Metadata"]
+    assert sorted((r.file, r.duplicates) for r in t["copies"].collect()) == [("01", 1), ("02", 0)]
+    assert sorted((r.change, r.column) for r in t["schema"].collect()) == [("extra", "z"), ("retyped", "('v', 'double', 'string')")]
+
+
 def test_sessions(tmp_path):
     s = Sessions(str(tmp_path / "sessions"))
     a = s.create({"filters": False, "seed": 1})
