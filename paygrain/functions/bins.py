@@ -32,16 +32,14 @@ SIZE_GROUPS = {"TPE": (1, 2), "PE": (3, 4), "ME": (5, 6), "GE": (7, 8, 9, 10)}
 def code(x: Column | str, classes: Sequence[Class]) -> Column:
     """1, 2, ... for the class of x; null for null, NaN and values in no class."""
     x = F.col(x) if isinstance(x, str) else x
-    x = F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+    known = x.isNotNull() & ~F.isnan(x.cast("double"))
     out = None
     for i, (lo, hi, _) in enumerate(classes, 1):
-        inside = F.lit(True)
-        if lo is not None:
-            inside = inside & (x >= lo)
-        if hi is not None:
-            inside = inside & (x <= hi)
+        inside = known if lo is None and hi is None else None
+        for test in ([x >= lo] if lo is not None else []) + ([x <= hi] if hi is not None else []):
+            inside = test if inside is None else inside & test
         out = F.when(inside, i) if out is None else out.when(inside, i)
-    return F.when(x.isNotNull(), out)
+    return F.when(known, out)
 
 
 def text(code_: Column, classes: Sequence[Class]) -> Column:

@@ -44,29 +44,31 @@ def derive(df: DataFrame) -> DataFrame:
     """Ages and tenures as differences of calendar years, their classes, period columns, the monthly wage; only what the
     table's columns allow."""
     have = set(df.columns)
-    out = df
-    for name, source in (
-        ("age_employe", "date_naissance"),
-        ("anciennete_entreprise", "date_embauche"),
-        ("anciennete_immat", "date_immatriculation"),
-        ("age_entreprise_immat", "date_immat_employeur"),
-    ):
-        if {source, "annee"} <= have:
-            out = out.withColumn(name, (F.col("annee") - F.year(source)).cast("int"))
-            for prefix, classes in (("cl_", bins.AGE), ("cl_red_", bins.AGE_REDUCED)):
-                code = bins.code(name, classes)
-                out = out.withColumn(f"{prefix}{name}_code", code).withColumn(f"{prefix}{name}", bins.text(code, classes))
+    years = {n: (F.col("annee") - F.year(c)).cast("int") for n, c in AGES if {c, "annee"} <= have}
+    # one projection each for years, codes and labels: a column that later ones use often is computed once
+    coded, labelled = {}, {}
+    for name in years:
+        for prefix, classes in (("cl_", bins.AGE), ("cl_red_", bins.AGE_REDUCED)):
+            coded[f"{prefix}{name}_code"] = bins.code(name, classes)
+            labelled[f"{prefix}{name}"] = bins.text(F.col(f"{prefix}{name}_code"), classes)
     if "effectif_salaries" in have:
         for name, classes in (("classe_effectif", bins.SIZE), ("classe_effectif_reduite", bins.SIZE_REDUCED)):
-            code = bins.code("effectif_salaries", classes)
-            out = out.withColumn(f"{name}_code", code).withColumn(name, bins.text(code, classes))
+            coded[f"{name}_code"] = bins.code("effectif_salaries", classes)
+            labelled[name] = bins.text(F.col(f"{name}_code"), classes)
     if {"annee", "mois"} <= have:
-        out = out.withColumn("period", dates.period(F.col("annee"), F.col("mois"))).withColumn("trimestre", dates.quarter(F.col("mois"))).withColumn("semestre", dates.half(F.col("mois")))
+        labelled |= {"period": dates.period(F.col("annee"), F.col("mois")), "trimestre": dates.quarter(F.col("mois")), "semestre": dates.half(F.col("mois"))}
     if {"salaire_brut", "duree_travaillee"} <= have:
-        out = out.withColumn("salaire_brut_mens", monthly_wage(F.col("salaire_brut"), F.col("duree_travaillee")))
+        labelled["salaire_brut_mens"] = monthly_wage(F.col("salaire_brut"), F.col("duree_travaillee"))
+    out = df
+    for step in (years, coded, labelled):
+        out = out.withColumns(step) if step else out
     return out
 
 
+#: Derived years and the dates they count from.
+AGES = (("age_employe", "date_naissance"), ("anciennete_entreprise", "date_embauche"), ("anciennete_immat", "date_immatriculation"), ("age_entreprise_immat", "date_immat_employeur"))
+
+
 @dataclass(frozen=True)
 class CleanRules:
     floor: float = 75_000.0
