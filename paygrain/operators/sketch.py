@@ -74,7 +74,7 @@ def percentiles(sketch: DataFrame, keys: Sequence[str], ps: dict[str, float], er
     w = Window.partitionBy(*keys)
     run = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     # buckets of a group are bounded by the error, not by its rows
-    t = sketch.withColumn("_t", F.sum(m).over(w)).withColumn("_c", F.sum(m).over(run))
+    t = sketch.withColumn("_c", F.sum(m).over(run)).withColumn("_t", F.sum(m).over(w))
     reach = lambda p: F.min(F.when((F.col("_t") > 0) & (F.col("_c") >= F.col("_t") * p - F.col("_t") * 1e-12), F.col("bucket")))
     out = t.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), *[reach(p).alias(name) for name, p in ps.items()])
     return out.select(*keys, "n", "weight", *[value_of(F.col(name), error).alias(name) for name in ps])
@@ -84,9 +84,9 @@ def both(sketch: DataFrame, keys: Sequence[str], ps: dict[str, float], error: fl
     """Plain percentiles under their names and weighted ones with the ending _pond, from one pass over the sketch."""
     w = Window.partitionBy(*keys)
     run = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    t = sketch.select(
-        "*", F.sum("n").over(w).alias("_tn"), F.sum("n").over(run).alias("_cn"), F.sum("weight").over(w).cast("double").alias("_tw"), F.sum("weight").over(run).cast("double").alias("_cw")
-    )
+    # the ordered windows come first: their sort serves the others
+    t = sketch.select("*", F.sum("n").over(run).alias("_cn"), F.sum("weight").over(run).cast("double").alias("_cw"))
+    t = t.select("*", F.sum("n").over(w).alias("_tn"), F.sum("weight").over(w).cast("double").alias("_tw"))
     # a relative slack takes up the rounding of running sums
     plain = {k: F.min(F.when(F.col("_cn") >= F.col("_tn") * (p - 1e-12), F.col("bucket"))) for k, p in ps.items()}
     heavy = {k: F.min(F.when((F.col("_tw") > 0) & (F.col("_cw") >= F.col("_tw") * (p - 1e-12)), F.col("bucket"))) for k, p in ps.items()}

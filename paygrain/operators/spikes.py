@@ -92,13 +92,9 @@ def series(lines: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
     for k in range(rules.run - 1, 0, -1):  # equal neighbours in a row, looked at no farther than a run is long
         back = F.when(F.lag("v", k).over(w) == F.col("v"), back + 1).otherwise(0)
         ahead = F.when(F.lead("v", k).over(w) == F.col("v"), ahead + 1).otherwise(0)
-    return long.select(
-        "*",
-        F.count("*").over(whole).alias("n"),
-        F.percentile("v", 0.5).over(whole).alias("med"),
-        (back + ahead + 1 >= rules.run).alias("stuck"),
-        (F.lag("v", 1).over(w) == F.col("v")).alias("same"),
-    )
+    # the ordered windows come first: their sort serves the others
+    placed = long.select("*", (back + ahead + 1 >= rules.run).alias("stuck"), (F.lag("v", 1).over(w) == F.col("v")).alias("same"))
+    return placed.select("*", F.count("*").over(whole).alias("n"), F.percentile("v", 0.5).over(whole).alias("med"))
 
 
 def residual_ratio(v: Column, med: Column) -> Column:

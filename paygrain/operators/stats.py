@@ -52,10 +52,9 @@ def _placed(b: DataFrame, keys: Sequence[str]) -> DataFrame:
     all_ = Window.partitionBy(*keys)
     run = all_.orderBy(F.col("y").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     wy = F.col("W") * F.col("y")
-    d = b.select(
-        "*", F.sum("W").over(all_).alias("TW"), F.sum(wy).over(all_).alias("TWY"), F.sum("W").over(run).alias("CW"), F.sum(wy).over(run).alias("CWY"), F.row_number().over(all_.orderBy(F.col("y").asc_nulls_last())).alias("_at"),
-        F.count("*").over(all_).alias("_of"),
-    )
+    # the ordered windows come first: their sort serves the others
+    d = b.select("*", F.sum("W").over(run).alias("CW"), F.sum(wy).over(run).alias("CWY"), F.row_number().over(all_.orderBy(F.col("y").asc_nulls_last())).alias("_at"))
+    d = d.select("*", F.sum("W").over(all_).alias("TW"), F.sum(wy).over(all_).alias("TWY"), F.count("*").over(all_).alias("_of"))
     return d.withColumn("mu", F.try_divide("TWY", "TW"))
 
 
