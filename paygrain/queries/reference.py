@@ -162,7 +162,7 @@ b AS (SELECT px, max(j) j FROM s GROUP BY 1), w AS (SELECT s.px, s.j, min(m) m F
 
 def _lookup_names(s, d):
     p = table(s, d, "part")
-    return p.where("p_partkey % 7 = 0").select(F.concat_ws(" ", F.reverse("p_brand"), "p_name").alias("m"))
+    return p.select(F.concat_ws(" ", F.reverse("p_brand"), "p_name").alias("m"))
 
 
 @query(f"WITH {_FUZZY} SELECT v AS value, CASE WHEN j >= 0.7 THEN m END AS match, round(j, 6) score FROM x JOIN w USING (px)")
