@@ -34,3 +34,14 @@ def test_match_quality_counts_every_part(spark, parts):
         s = best(n)[1]
         want.setdefault("excellent" if s >= 0.95 else "good" if s >= 0.85 else "acceptable" if s >= 0.75 else "poor" if s >= 0.6 else "rejected", []).append(s)
     assert got == {q: (len(s), pytest.approx(sum(s) / len(s), abs=2e-6)) for q, s in want.items()}
+
+
+def test_every_customer_is_compared(spark, tmp_path, rows):
+    spark.createDataFrame([(1, "FRANCE", 3)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(3, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    names = [f"Customer#{k:09d}" for k in range(11)]
+    spark.createDataFrame(list(enumerate(names)), "c_custkey bigint, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    want = sorted([("FRANCE", "EUROPEFRANCE"), *((n, n.replace("0", "O")) for n in names)])
+    for q in (R.str04_to_str07_similarities, R.str06_str07_more_similarities):
+        got = q(spark, str(tmp_path))
+        assert rows(got, "a", "b") == want and got.dropna().count() == len(want)
