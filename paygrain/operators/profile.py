@@ -130,6 +130,7 @@ class LoadSpec:
     distinct_gap: float = 0.2
     distribution_gap: float = 0.25
     month_gap: float = 0.2
+    expression_gap: float = 0.1
 
 
 def _parts(spec: LoadSpec) -> tuple[Column, Column, Column]:
@@ -144,9 +145,13 @@ def _is_null(df: DataFrame, c: str) -> Column:
     return F.col(c).isNull() | F.isnan(c) if dict(df.dtypes)[c] in ("double", "float") else F.col(c).isNull()
 
 
+def _columns(df: DataFrame, spec: LoadSpec) -> list[str]:
+    return [c for c in spec.columns if c in df.columns]
+
+
 def long_values(df: DataFrame, spec: LoadSpec) -> DataFrame:
     """(load, colonne, v text, x number, rows): every column of every load, equal values counted map-side."""
-    have = [c for c in spec.columns if c in df.columns]
+    have = _columns(df, spec)
     number = {c for c, t in df.dtypes if t in ("int", "bigint", "double", "float", "smallint", "tinyint") or t.startswith("decimal")}
     cell = lambda c: F.struct(
         F.lit(c).alias("colonne"),
@@ -157,21 +162,34 @@ def long_values(df: DataFrame, spec: LoadSpec) -> DataFrame:
     return long.groupBy(spec.load, "_c.colonne", "_c.v", "_c.x").agg(F.count("*").alias("rows"))
 
 
-def profile_loads(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None = None) -> DataFrame:
+def _text(df: DataFrame) -> Column:
+    """The form of a value that expressions are induced on: as text, whole numbers of a floating column without fraction
+    and exponent."""
+    floating = [c for c, t in df.dtypes if t in ("double", "float")]
+    whole = F.col("colonne").isin(*floating) & (F.col("x") == F.floor("x")) & (F.abs("x") < 1e15)
+    return F.when(whole, F.col("x").cast("bigint").cast("string")).otherwise(F.col("v"))
+
+
+def profile_loads(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None = None, formed: Sequence[str] | None = None) -> DataFrame:
     """One row per (load, column): rows, nulls, distinct, least, most (numbers), out_of_range, violations (declared
-    expression), foreign (rows no induced expression takes), main expression coverage.
+    expression), foreign (rows no induced expression takes), main (the column's expression of most distinct values) and
+    main_coverage (its share of the load's rows with a value). formed: columns whose expressions are induced, else all.
 
     Empty text is a value; NaN counts as null. Loads without a name are left out; an empty table gives no row."""
     values = long_values(df, spec) if values is None else values
+    t = _text(df)
     rng = F.lit(False)
     for c, lo, hi in spec.ranges:
         rng = F.when(F.col("colonne") == c, F.coalesce((F.col("x") < lo) | (F.col("x") > hi), F.lit(False))).otherwise(rng)
-    texts = [c for c in spec.columns if c in df.columns and dict(df.dtypes)[c] == "string"]
-    forms = induced(values, texts, spec)
-    fits = F.lit(None).cast("boolean")
+    forms = induced(values.withColumn("v", t), _columns(df, spec) if formed is None else formed, spec)
+    fits, main, mainly = F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(False)
     for c, rxs in forms.items():
         any_of = "|".join(f"(?:{e.regex})" for e in rxs)
-        fits = F.when(F.col("colonne") == c, F.col("v").rlike(f"^(?:{any_of})$") if rxs else F.lit(False)).otherwise(fits)
+        fits = F.when(F.col("colonne") == c, t.rlike(f"^(?:{any_of})$") if rxs else F.lit(False)).otherwise(fits)
+        if rxs:
+            first = max(rxs, key=lambda e: e.values).regex
+            main = F.when(F.col("colonne") == c, F.lit(first)).otherwise(main)
+            mainly = F.when(F.col("colonne") == c, t.rlike(f"^(?:{first})$")).otherwise(mainly)
     # a value is tried against the declared expression where no induced expression that keeps to it takes the value
     vio = F.lit(False)
     for c, rx in spec.patterns:
@@ -179,6 +197,7 @@ def profile_loads(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame
         taken = F.col("v").rlike(f"^(?:{'|'.join(f'(?:{e})' for e in own)})$") if own else F.lit(False)
         vio = F.when(F.col("colonne") == c, F.coalesce(~taken & ~F.col("v").rlike(rx), F.lit(False))).otherwise(vio)
     some = F.col("v").isNotNull()
+    rows = F.sum(F.when(some, F.col("rows")).otherwise(0))
     return values.groupBy(spec.load, "colonne").agg(
         F.sum("rows").alias("rows"),
         F.sum(F.when(some, F.lit(0)).otherwise(F.col("rows"))).alias("nulls"),
@@ -188,11 +207,13 @@ def profile_loads(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame
         F.sum(F.when(rng, F.col("rows")).otherwise(0)).alias("out_of_range"),
         F.sum(F.when(vio, F.col("rows")).otherwise(0)).alias("violations"),
         F.sum(F.when(some & ~fits, F.col("rows")).otherwise(0)).alias("foreign"),
+        F.max(main).alias("main"),
+        F.when(F.max(main).isNotNull(), F.round(F.try_divide(F.sum(F.when(some & mainly, F.col("rows")).otherwise(0)).cast("double"), rows), 6)).alias("main_coverage"),
     )
 
 
 def induced(values: DataFrame, columns: Sequence[str], spec: LoadSpec = LoadSpec()) -> dict[str, list[Expression]]:
-    """Expressions per text column over all distinct values of all loads."""
+    """Expressions per column over the text forms of all distinct values of all loads."""
     shapes = (
         values.where(F.col("colonne").isin(*columns) & F.col("v").isNotNull())
         .groupBy("colonne", "v")
@@ -225,18 +246,52 @@ def _collapsed(s: Column) -> Column:
     return s
 
 
+def _order(loads: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Every load with its agency, months, and the agency's loads before and after it."""
+    agency, running, month = _parts(spec)
+    w = Window.partitionBy("agency").orderBy("running", spec.load)
+    loads = loads.select(spec.load).distinct().select(spec.load, agency.alias("agency"), running.alias("running"), month.alias("month"))
+    return loads.withColumn("before", F.lag(spec.load).over(w)).withColumn("after", F.lead(spec.load).over(w))
+
+
+def coverage(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None = None) -> DataFrame:
+    """(load, colonne, expression, rows, share, share_before, drifts): the rows that each induced expression takes, null for
+    those that none takes, with its share of the rows with a value here and in the agency's preceding load; drifts where
+    the two differ by spec.expression_gap or more, null without values on either side.
+
+    A value belongs to the first selected expression that takes it. An expression that only the preceding load has stands
+    with 0 rows."""
+    values = materialise(long_values(df, spec), "load-values") if values is None else values
+    t = _text(df)
+    taken = F.lit(None).cast("string")
+    for c, rxs in induced(values.withColumn("v", t), _columns(df, spec), spec).items():
+        own = F.lit(None).cast("string")
+        for e in reversed(rxs):
+            own = F.when(t.rlike(f"^(?:{e.regex})$"), F.lit(e.regex)).otherwise(own)
+        taken = F.when(F.col("colonne") == c, own).otherwise(taken)
+    counted = values.where("v IS NOT NULL").groupBy(spec.load, "colonne", taken.alias("expression")).agg(F.sum("rows").alias("rows"))
+    counted = materialise(counted, "load-coverage")
+    order = _order(values, spec)
+    sides = F.array(F.struct(F.col(spec.load).alias("of"), F.lit(1).alias("side")), F.struct(F.col("after").alias("of"), F.lit(-1).alias("side")))
+    sided = counted.join(order.select(spec.load, "after"), spec.load).select("colonne", "expression", "rows", F.explode(sides).alias("_s")).where("_s.of IS NOT NULL")
+    of = lambda side: F.sum(F.when(F.col("_s.side") == side, F.col("rows")).otherwise(0))
+    both = sided.groupBy(F.col("_s.of").alias(spec.load), "colonne", "expression").agg(of(1).alias("rows"), of(-1).alias("old"))
+    w = Window.partitionBy(spec.load, "colonne")
+    share = lambda c: F.round(F.try_divide(F.col(c).cast("double"), F.sum(c).over(w)), 6)
+    both = both.withColumn("share", share("rows")).withColumn("share_before", share("old")).drop("old")
+    return both.withColumn("drifts", F.round(F.abs(F.col("share") - F.col("share_before")), 6) >= spec.expression_gap)
+
+
 def drift(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None = None) -> DataFrame:
     """(load, colonne, constat): loads in which a column goes wrong - `range`, `pattern`, and against the agency's
     preceding load `nulls`, `distinct`, `distribution`. Shares are rounded to six decimals before they are compared;
     figures that need a value on either side give no row without one."""
     # read by each of the figures below: counted once, written once
     values = materialise(long_values(df, spec), "load-values") if values is None else values
-    prof = materialise(profile_loads(df, spec, values), "load-profile")
-    agency, running, month = _parts(spec)
-    w = Window.partitionBy("agency").orderBy("running", spec.load)
+    # of the expressions, the findings below read those of columns with a declared one alone
+    prof = materialise(profile_loads(df, spec, values, [c for c, _ in spec.patterns if c in df.columns]), "load-profile")
     share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 6)
-    loads = prof.select(spec.load).distinct().select(spec.load, agency.alias("agency"), running.alias("running"), month.alias("month"))
-    order = loads.withColumn("before", F.lag(spec.load).over(w)).withColumn("after", F.lead(spec.load).over(w))
+    order = _order(prof, spec)
     figures = prof.withColumn("some", F.col("rows") - F.col("nulls"))
     figures = figures.withColumn("null_share", share("nulls", "rows")).withColumn("distinct_share", share("distinct", "some"))
     out = [

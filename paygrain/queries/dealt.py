@@ -59,6 +59,11 @@ def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.profile_loads(table(spark, d, "chargements"))
 
 
+def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of every induced expression per load, against the agency's preceding load."""
+    return profile.coverage(table(spark, d, "chargements"))
+
+
 def _sketches(spark: SparkSession, d: str, dims: tuple[str, ...]) -> DataFrame:
     """Sketches of usable wages per month, for all and per further group."""
     base = table(spark, d, "base_analytique").where(F.col("salaire_brut_mens").between(0, 90_000_000))
@@ -100,5 +105,5 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p5_percentiles, p5_quarters, p6_found, p6_values)
+    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_coverage, p5_percentiles, p5_quarters, p6_found, p6_values)
 }

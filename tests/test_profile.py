@@ -66,3 +66,18 @@ def test_induction_merges_lengths_where_it_pays():
 def test_shape(spark):
     d = spark.createDataFrame([("Éa-9Z b",), ("",), (None,)], "s string")
     assert [r[0] for r in d.select(P.shape(d.s)).collect()] == ["La-9A a", "", None]
+
+
+def test_numbers_get_expressions_and_coverage_is_compared(spark):
+    salaries = lambda i: 100000.0 + i if i < 30 else 7.5 + i
+    d = spark.createDataFrame(load("A_2024_01") + load("A_2024_02", salaire_brut=salaries) + load("A_2024_03", salaire_brut=None), SCHEMA)
+    p = {(r.chargement, r.colonne): r for r in P.profile_loads(d).collect()}
+    first, second = p["A_2024_01", "salaire_brut"], p["A_2024_02", "salaire_brut"]
+    assert (first.foreign, first.main, first.main_coverage) == (0, "[0-9]{6}", 1.0) and second.main_coverage == 0.75
+    assert p["A_2024_03", "salaire_brut"].main_coverage is None
+    got = {(r.chargement, r.expression): (r.rows, r.share, r.share_before, r.drifts) for r in P.coverage(d).where("colonne = 'salaire_brut'").collect()}
+    other = r"[0-9]{2}\.[0-9]"
+    assert got == {
+        ("A_2024_01", "[0-9]{6}"): (40, 1.0, None, None), ("A_2024_02", "[0-9]{6}"): (30, 0.75, 1.0, True), ("A_2024_02", other): (10, 0.25, 0.0, True),
+        ("A_2024_03", "[0-9]{6}"): (0, None, 0.75, None), ("A_2024_03", other): (0, None, 0.25, None),
+    }
