@@ -8,6 +8,7 @@ counted. Documents are never joined with one another or with the passages; the a
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -36,6 +37,40 @@ def words(text: str | None) -> list[str]:
     return _WORDS.findall(t)
 
 
+def located(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The same words with the places of each in the text: start and end."""
+    kept = bytearray(b"\1") * len(text)
+    for m in _BROKEN.finditer(text):
+        kept[m.start() : m.end()] = bytes(m.end() - m.start())
+    out: list[str] = []
+    at: list[int] = []
+    group: list[int] = []
+
+    def close() -> None:
+        # characters and the marks on them are normalised together, as their order may change
+        t = _MARKS.sub("", unicodedata.normalize("NFKD", "".join(text[i] for i in group))).casefold().translate(_LETTERS)
+        out.append(t)
+        at.extend([group[0]] * len(t))
+
+    for i, c in enumerate(text):
+        if not kept[i]:
+            continue
+        if group and not unicodedata.combining(unicodedata.normalize("NFKD", c)[0]):
+            close()
+            group = []
+        group.append(i)
+    if group:
+        close()
+    found = list(_WORDS.finditer("".join(out)))
+    places = []
+    for m in found:
+        end = at[m.end() - 1] + 1
+        while end < len(text) and unicodedata.combining(text[end]):
+            end += 1
+        places.append((at[m.start()], end))
+    return [m[0] for m in found], places
+
+
 class Automaton:
     """Generalised suffix automaton of word sequences."""
 
@@ -119,16 +154,27 @@ class Automaton:
                 found |= self.passages[self.widest[u]]
         return found
 
-    def overlap(self, ids: list[int], item: int, enough: int) -> int:
-        """The most words of the item that the document holds in its order, in disjoint stretches; counting stops at
-        enough. A stretch that ends at a pair of places is the one that ended a word before, grown by a word, or a new
-        one after the best chain that ends before it in both; those are kept in a tree of maxima over the passage."""
-        k, p = self.stretch, self.items[item]
+    def _stretches(self, item: int) -> dict[tuple[int, ...], list[int]]:
+        """Places of the item's stretches of the least length."""
         grams = self._grams.get(item)
         if grams is None:
+            k, p = self.stretch, self.items[item]
             grams = self._grams[item] = {}
             for i in range(len(p) - k + 1):
                 grams.setdefault(tuple(p[i : i + k]), []).append(i)
+        return grams
+
+    def spans(self, ids: list[int], item: int) -> list[tuple[int, int]]:
+        """Places (first word, word after the last) of every stretch of the words that stands in the item, in any order."""
+        k, grams = self.stretch, self._stretches(item)
+        return joined([(j, j + k) for j in range(len(ids) - k + 1) if tuple(ids[j : j + k]) in grams])
+
+    def overlap(self, ids: list[int], item: int, enough: int) -> int:
+        """The most words of the item that the document holds in its order, in disjoint stretches; counting stops at
+        enough. A stretch that ends at a pair of places is the one that ended a word before, grown by a word, or a new
+        one after the best chain that ends before it in both; those are kept in a tree of maxima over the passage."""
+        k, p = self.stretch, self.items[item]
+        grams = self._stretches(item)
         tree = [0] * (len(p) + 1)
         before: dict[int, int] = {}
         waiting: list[tuple[int, list[tuple[int, int]]]] = []
@@ -159,14 +205,27 @@ class Automaton:
         return top
 
 
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans with those that overlap put together."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 @dataclass(frozen=True)
 class LeakRules:
     """least: words of a passage that make a leak; stretch: words in a row that count; block: words of passages that one
-    automaton takes - more passages are worked through in several blocks, each against all documents."""
+    automaton takes - more passages are worked through in several blocks, each against all documents. coverage: in
+    remove, the share of a passage's words that is over the limit even under least words."""
 
     least: int = 20
     stretch: int = 5
     block: int = 2_000_000
+    coverage: float = 0.8
 
 
 _BUILT: dict[tuple, Automaton] = {}
@@ -228,3 +287,53 @@ def _search(block: tuple[tuple[int, str], ...], rules: LeakRules):
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "mots"]).astype({"doc_id": "int64", "item_id": "int64", "mots": "int32"})
 
     return run
+
+
+def remove(docs: DataFrame, tests: DataFrame, rules: LeakRules = LeakRules(), passage: str = "passage") -> DataFrame:
+    """(doc_id, text, spans, mots): every text without the stretches of passages over a limit, how many were removed, and
+    their words.
+
+    A passage is over the limit in a document that holds rules.least of its words (as in leaks), or rules.coverage of
+    them; then all its stretches of rules.stretch words or more go, whatever their order, until none is left. The rest of
+    a text stays character by character; a blank stands for a removed stretch. Passages under rules.least words stay, as
+    in leaks. Null and empty texts stay as they are."""
+    kind = "doc_id bigint, text string, spans int, mots int"
+    out = spread(docs.select("doc_id", "text")).select("doc_id", "text", F.lit(0).alias("spans"), F.lit(0).alias("mots"))
+    for block in _blocks(tests, rules, passage):
+        out = out.mapInPandas(_removal(block, rules), kind)
+    return out
+
+
+def cleaned(a: Automaton, text: str | None, rules: LeakRules) -> tuple[str | None, int, int]:
+    """The text without the stretches over a limit, their number and their words."""
+    spans = lost = 0
+    while True:
+        ids = [a.vocab.get(w, -1) for w in words(text)]
+        found = []
+        for item in a.candidates(ids):
+            enough = min(rules.least, math.ceil(rules.coverage * len(a.items[item])))
+            if a.overlap(ids, item, enough) >= enough:
+                found += a.spans(ids, item)
+        if not found:
+            return text, spans, lost
+        found = joined(found)
+        _, at = located(text)
+        pieces, done = [], 0
+        for x, y in found:
+            pieces.append(text[done : at[x][0]])
+            done = at[y - 1][1]
+        text = " ".join([*pieces, text[done:]])
+        spans += len(found)
+        lost += sum(y - x for x, y in found)
+
+
+def _removal(block: tuple[tuple[int, str], ...], rules: LeakRules):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a = _automaton(block, rules.stretch)
+        for b in batches:
+            got = [cleaned(a, t, rules) for t in b["text"]]
+            yield pd.DataFrame(
+                {"doc_id": b["doc_id"], "text": [t for t, _, _ in got], "spans": (b["spans"] + [n for _, n, _ in got]).astype("int32"), "mots": (b["mots"] + [n for _, _, n in got]).astype("int32")}
+            )
+
+    return run

@@ -19,6 +19,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "passages_test")).select("doc_id", "item_id")
 
 
+def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Every text without the passages' stretches that are over the length or coverage limit."""
+    return leaks.remove(table(spark, d, "documents"), table(spark, d, "passages_test"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.personal_information(table(spark, d, "documents"))
 
@@ -28,5 +33,5 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p9_found, p9_redacted)}
+QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_cleaned, p9_found, p9_redacted)}
 ORACLE: dict[str, str] = {}

@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from paygrain.llm.leaks import Automaton, LeakRules, leaks, words
+from paygrain.llm.leaks import Automaton, LeakRules, cleaned, leaks, located, remove, words
 
 SENT = ["le luthier distrait doubla chaque messager rapide après notre syndic", "ce tribunal tardif redistribua chaque notaire nocturne pour deux cents écus", "notre bûcheron prudent protégea un copiste avare derrière le vieux moulin"]
 PASSAGE = ". ".join(SENT) + "."
@@ -81,3 +81,32 @@ def test_against_brute_force(seed):
     assert a.candidates(ids) == near
     for i in near:
         assert a.overlap(ids, i, 10**9) == brute(doc, items[i], 3)
+
+
+def test_removal_leaves_the_rest(spark):
+    short = " ".join(words(PASSAGE)[:12])
+    docs = ["Avant : " + PASSAGE + " Après !", "Un. " + SENT[1].upper() + " ; " + SENT[0] + ", deux " + SENT[2], short, None, "", PASSAGE.replace("bûcheron", "bûche-\nron") + " fin"]
+    d = spark.createDataFrame(list(enumerate(docs, 1)), "doc_id bigint, text string")
+    t = spark.createDataFrame([(101, PASSAGE), (102, None)], "item_id bigint, passage string")
+    got = remove(d, t)
+    n = len(words(PASSAGE))
+    a, b, c = (len(words(s)) for s in SENT)
+    rows = {r.doc_id: (r.text, r.spans, r.mots) for r in got.collect()}
+    assert rows == {1: ("Avant :  . Après !", 1, n), 2: ("Un.   ;  , deux  ", 3, a + b + c), 3: (short, 0, 0), 4: (None, 0, 0), 5: ("", 0, 0), 6: (" . fin", 1, n)}
+    assert leaks(got, t).count() == 0
+
+
+def test_coverage_limit():
+    p = [f"m{i}" for i in range(22)]
+    text = " ".join([*p[:18], "autre"])
+    a = Automaton([(1, p)], 5)
+    assert cleaned(a, text, LeakRules(coverage=1.0)) == (text, 0, 0)
+    assert cleaned(a, text, LeakRules()) == ("  autre", 1, 18)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aÉe\u0301\u0327œﬁß-\n '.,7\u00ad\u200b_ ǅİ한", max_size=40))
+def test_located_words_are_the_words(text):
+    found, at = located(text)
+    assert found == words(text)
+    assert all(a < b for a, b in at) and all(x[1] <= y[1] and x[0] <= y[0] for x, y in zip(at, at[1:]))
