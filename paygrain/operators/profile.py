@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,11 +115,12 @@ def induce(counts: Sequence[tuple], literal_bits: float = 8.0, total: int | None
 class LoadSpec:
     """load: the load's name. series, month: expressions for the agency of a load and its month number in order.
     ranges, patterns: declared bounds and expressions. nulls, distinct, numeric: columns judged between loads.
+    columns: those profiled, all but the load's name if None.
     month_column: its values are compared with the load's own month of the year."""
 
     load: str = "chargement"
     order: str = "charge_le"
-    columns: tuple[str, ...] = ("id_indiv", "numero_employeur", "mois", "annee", "sexe", "type_salarie", "commune", "salaire_brut", "duree_travaillee")
+    columns: tuple[str, ...] | None = None
     ranges: tuple[tuple[str, float, float], ...] = (("mois", 1, 12), ("salaire_brut", 0, 50_000_000), ("duree_travaillee", 0, 744))
     patterns: tuple[tuple[str, str], ...] = (("id_indiv", "^[A-Z]{2}[0-9]{9}$"), ("numero_employeur", "^[0-9]{7}$"))
     nulls: tuple[str, ...] = ("id_indiv", "numero_employeur", "mois", "sexe", "commune", "salaire_brut", "duree_travaillee")
@@ -146,7 +147,7 @@ def _is_null(df: DataFrame, c: str) -> Column:
 
 
 def _columns(df: DataFrame, spec: LoadSpec) -> list[str]:
-    return [c for c in spec.columns if c in df.columns]
+    return [c for c in (df.columns if spec.columns is None else spec.columns) if c in df.columns and c != spec.load]
 
 
 def long_values(df: DataFrame, spec: LoadSpec) -> DataFrame:
@@ -286,8 +287,9 @@ def drift(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None =
     """(load, colonne, constat): loads in which a column goes wrong - `range`, `pattern`, and against the agency's
     preceding load `nulls`, `distinct`, `distribution`. Shares are rounded to six decimals before they are compared;
     figures that need a value on either side give no row without one."""
-    # read by each of the figures below: counted once, written once
-    values = materialise(long_values(df, spec), "load-values") if values is None else values
+    # read by each of the figures below: counted once, written once; other columns have no finding
+    judged = dict.fromkeys([*(c for c, _, _ in spec.ranges), *(c for c, _ in spec.patterns), *spec.nulls, *spec.distinct, *spec.numeric, spec.month_column])
+    values = materialise(long_values(df, replace(spec, columns=tuple(judged))), "load-values") if values is None else values
     # of the expressions, the findings below read those of columns with a declared one alone
     prof = materialise(profile_loads(df, spec, values, [c for c, _ in spec.patterns if c in df.columns]), "load-profile")
     share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 6)

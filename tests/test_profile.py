@@ -81,3 +81,9 @@ def test_numbers_get_expressions_and_coverage_is_compared(spark):
         ("A_2024_01", "[0-9]{6}"): (40, 1.0, None, None), ("A_2024_02", "[0-9]{6}"): (30, 0.75, 1.0, True), ("A_2024_02", other): (10, 0.25, 0.0, True),
         ("A_2024_03", "[0-9]{6}"): (0, None, 0.75, None), ("A_2024_03", other): (0, None, 0.25, None),
     }
+
+
+def test_every_column_is_profiled(spark):
+    d = spark.createDataFrame([("A_2024_01", None, 5, "Agence A"), ("A_2024_01", None, 5, None)], "chargement string, charge_le timestamp, ligne_id bigint, libelle_agence string")
+    p = {r.colonne: (r["rows"], r.nulls, r.distinct) for r in P.profile_loads(d).collect()}
+    assert p == {"charge_le": (2, 2, 0), "ligne_id": (2, 0, 1), "libelle_agence": (2, 1, 1)}
