@@ -1,13 +1,12 @@
-"""Queries of the data-quality operators p1 to p6, over whole tables, and the SQL they are held against."""
+"""Queries of the data-quality operators p1 to p4 and p6, over whole tables, and the SQL they are held against."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators import fill, profile, schema_drift, sketch, snapshots, spikes
+from ..operators import fill, profile, schema_drift, snapshots, spikes
 from ..session import table
-from .dealt_sql import GROUPS, ORACLE, PS
+from .dealt_sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -64,35 +63,6 @@ def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
     return profile.coverage(table(spark, d, "chargements"))
 
 
-def _sketches(spark: SparkSession, d: str, dims: tuple[str, ...]) -> DataFrame:
-    """Sketches of usable wages per month, for all and per further group."""
-    base = table(spark, d, "base_analytique").where(F.col("salaire_brut_mens").between(0, 90_000_000))
-    groups = F.array(
-        F.struct(F.lit("ensemble").alias("dimension"), F.lit("Total").alias("groupe")),
-        *[F.struct(F.lit(g).alias("dimension"), F.col(g).alias("groupe")) for g in dims],
-    )
-    # buckets are taken before the rows are multiplied by the groups
-    b = base.select("annee", "mois", sketch.bucket_of(F.col("salaire_brut_mens")).alias("bucket"), "w_final", F.explode(groups).alias("_g"))
-    w = F.coalesce(F.sum(F.when(F.col("w_final") >= 0, F.col("w_final").try_cast("decimal(14,6)"))), F.lit(0))
-    return b.groupBy("annee", "mois", "_g.dimension", "_g.groupe", "bucket").agg(F.count("*").alias("n"), w.alias("weight"))
-
-
-def _percentiles(s: DataFrame, month: str) -> DataFrame:
-    out = sketch.both(s, ["annee", month, "dimension", "groupe"], PS)
-    return out.select("annee", month, "dimension", "groupe", "n", "poids", *[F.round(c, 4).alias(c) for c in out.columns[6:]])
-
-
-def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Plain and weighted percentiles of usable wages per month, for all and per further group."""
-    return _percentiles(_sketches(spark, d, GROUPS), "mois")
-
-
-def p5_quarters(spark: SparkSession, d: str) -> DataFrame:
-    """The same per quarter, from the months' sketches alone."""
-    s = _sketches(spark, d, GROUPS[:4]).withColumn("trimestre", F.ceil(F.col("mois") / 3).cast("int"))
-    return _percentiles(sketch.roll_up(s, ["annee", "trimestre", "dimension", "groupe"]), "trimestre")
-
-
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     c = fill.filled_cells(table(spark, d, "base_analytique"), table(spark, d, "panel_employeur"))
     return c.select("nom_table", "ligne_id", "champ")
@@ -105,5 +75,5 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_coverage, p5_percentiles, p5_quarters, p6_found, p6_values)
+    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_coverage, p6_found, p6_values)
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,26 +45,42 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where it is unset, as in tests."""
+    """The folder all executors share: spark.checkpoint.dir, or the one set on the context. Only a local master, where
+    every executor is this process, may go without: it gets a temporary folder."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return own.get()
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="paygrain-")
     spark.sparkContext.setCheckpointDir(made)
     return made
 
 
-def materialise(df: DataFrame, name: str, tight: bool = False) -> DataFrame:
+def _written(spark: SparkSession) -> str:
+    """This application's folder of written tables; it is deleted when the driver's JVM ends."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_paygrain_written", None):
+        sc._paygrain_written = f"{shared_dir(spark)}/paygrain-{sc.applicationId}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc._paygrain_written)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return sc._paygrain_written
+
+
+def materialise(df: DataFrame, name: str, tight: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
     Cuts the lineage and lets several consumers share one computation; the files survive the loss of executors.
-    tight: zstd in place of snappy, for tables that are written once and read few times.
+    tight: zstd in place of snappy, for tables that are written once and read few times. by: columns of few values that
+    name the folders, so that a reader of one value reads its folder alone.
     """
-    at = f"{shared_dir(df.sparkSession)}/paygrain/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd" if tight else "snappy").parquet(at)
+    at = f"{_written(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).option("compression", "zstd" if tight else "snappy").parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
