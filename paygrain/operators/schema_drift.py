@@ -1,10 +1,12 @@
 """Fields that are added, renamed, removed or retyped between files; one consistent table of all files.
 
-Similarity flooding. A file's schema is a graph: its headers, and the nodes they point at - word stems of the header, the
-kind of the values, their value forms, nested field names. The project's schema is such a graph too. A pair of fields is
-as similar as the pairs of nodes around it and hands its own similarity on to them; the scores are propagated over the
-pairs until they no longer move. From the converged scores consistent correspondences are selected: each header at most
-one column, each column at most one header, best first, above a floor.
+Similarity flooding. A file's schema is a graph: its headers, and the nodes they point at - words of the header, the kind
+of the values, their value forms, nested field names. The project's schema is such a graph too. Pairs of nodes start as
+similar as their own text says: fields by their whole name, words by spelling, abbreviation or a thesaurus of general
+words, kinds and forms by being the same. A pair of fields then takes up what the pairs of its words, kinds, forms and
+nested names hold, a pair of words what the pairs of fields around it hold against their rivals, and so on until the
+scores no longer move. From the converged scores consistent correspondences are selected: one column a header, one header
+a column, stable in that no header and column prefer each other, above a floor.
 
 Rows are parsed once, inside the JVM; what the matching sees is one small schema per distinct file layout.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,7 +43,7 @@ class Field:
 PROJECT = (
     Field("ID_INDIV", "string", ("text", "number"), ("AA9", "9 long")),
     Field("NUMERO_EMPLOYEUR", "string", ("text", "number", "object"), ("9 seven",), ("numero", "agence")),
-    Field("SALAIRE_BRUT", "double", ("number", "text", "object"), ("9 five", "9 six", "9 grouped"), ("montant", "devise")),
+    Field("SALAIRE_BRUT", "double", ("number", "text", "object"), ("9 five", "9 six", "9 seven", "9 grouped", "decimal"), ("montant", "devise")),
     Field("DUREE_TRAVAILLEE", "double", ("number", "text"), ("9 short", "decimal")),
     Field("SEXE", "string", ("text", "number"), ("letter", "9 short")),
     Field("TYPE_SALARIE", "string", ("text",), ("letter",)),
@@ -63,38 +66,95 @@ PROJECT = (
     Field("EFFECTIF_SALARIES", "double", ("number", "text"), ("9 short",)),
 )
 
-#: Words of headers that stand for a word of the project's names.
-LEXICON = {
-    "REMUNERATION": "SALAIRE", "PAIE": "SALAIRE", "BRUTE": "BRUT", "NO": "NUMERO", "N": "NUMERO", "NUMBER": "NUMERO",
-    "IDENTIFIANT": "ID", "MATRICULE": "ID", "INDIVIDU": "INDIV", "TEMPS": "DUREE", "TRAVAILLE": "TRAVAILLEE", "SEX": "SEXE", "GENRE": "SEXE",
-    "DT": "DATE", "NE": "NAISSANCE", "NEE": "NAISSANCE", "RS": "RAISON SOCIALE", "NB": "EFFECTIF", "NOMBRE": "EFFECTIF",
-    "SALARIE": "SALARIE", "SALARIES": "SALARIE",
-}
-#: Words that carry no meaning of their own, and units.
-EMPTY = frozenset("DE DU DES D LE LA LES L FCFA XOF EN".split())
+#: General words that mean the same, and usual abbreviations; the first of a row is the project's.
+THESAURUS = (
+    ("SALAIRE", "REMUNERATION", "PAIE", "SALARY", "WAGE", "PAY"),
+    ("BRUT", "GROSS"),
+    ("NUMERO", "NO", "N", "NUMBER", "NBR"),
+    ("ID", "IDENTIFIANT", "MATRICULE", "IDENTIFIER"),
+    ("INDIV", "PERSONNE", "PERSON"),
+    ("EMPLOYEUR", "EMPLOYER"),
+    ("DUREE", "TEMPS", "DURATION", "TIME"),
+    ("TRAVAILLEE", "WORKED"),
+    ("SEXE", "GENRE", "GENDER"),
+    ("DATE", "DT", "LE"),
+    ("NAISSANCE", "NE", "NEE", "BIRTH"),
+    ("EMBAUCHE", "HIRE", "HIRING"),
+    ("EFFECTIF", "NB", "NOMBRE", "COUNT"),
+    ("COMMUNE", "TOWN"),
+    ("SECTEUR", "SECTOR"),
+    ("SALARIES", "EMPLOYEES"),
+)
+#: Words that carry no meaning of their own, and units.
+EMPTY = frozenset("DE DU DES D LA LES L OF THE FCFA XOF EN".split())
+#: Share of a field pair's score that comes from each kind of neighbour; the whole name has the rest.
+SHARES = {"words": 0.5, "forms": 0.25, "kinds": 0.1}
+#: A word of another column says less against a pair than a word the project doesn't have at all.
+CONTEXT, FOREIGN = 0.3, 2.0
+#: The least spelling similarity that counts.
+SPELLING = 0.7
+#: A header takes no column whose score lies further under that of its best.
+NEAR_BEST = 0.85
 
 
 def stems(header: str, known: frozenset[str] = frozenset()) -> list[str]:
-    """Words of a header in capitals, without accents, through the lexicon; a header written as one word is cut into
-    known words if they cover it."""
+    """Words of a header in capitals, without accents; a header written as one word is cut into known words if they
+    cover it."""
     flat = unicodedata.normalize("NFKD", header.replace("°", " ").replace("º", " ")).encode("ascii", "ignore").decode().upper()
-    words = [w for w in re.split(r"[^A-Z0-9]+", flat) if w]
     out: list[str] = []
-    for w in words:
-        for x in LEXICON.get(w, w).split():
-            if x not in EMPTY:
-                out += (_cut(x, known) if known and x not in known else None) or [x]
+    for w in re.split(r"[^A-Z0-9]+", flat):
+        if w and w not in EMPTY:
+            out += (_cut(w, known) if known and w not in known else None) or [w]
     return list(dict.fromkeys(out))
 
 
 def _cut(word: str, known: frozenset[str]) -> list[str] | None:
     for i in range(3, len(word) - 2):
-        a, b = LEXICON.get(word[:i], word[:i]), LEXICON.get(word[i:], word[i:])
-        if a in known and b in known:
-            return [a, b]
+        if word[:i] in known and word[i:] in known:
+            return [word[:i], word[i:]]
     return None
 
 
+@lru_cache(maxsize=100_000)
+def spelling(a: str, b: str) -> float:
+    """One less the edits (letters put in, left out, changed, swapped) for the longer word."""
+    prev, cur = list(range(len(b) + 1)), []
+    before: list[int] = []
+    for i, x in enumerate(a, 1):
+        cur = [i]
+        for j, y in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[-1] + 1, prev[j - 1] + (x != y)))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                cur[-1] = min(cur[-1], before[j - 2] + 1)
+        before, prev = prev, cur
+    return 1 - prev[-1] / max(len(a), len(b), 1)
+
+
+@lru_cache(maxsize=100_000)
+def word_similarity(t: str, u: str, known: frozenset[str]) -> float:
+    """Of a header's word and a column's word, before any flooding. A word the project uses means itself."""
+    if t == u:
+        return 1.0
+    if any(u == row[0] and t in row[1:] for row in THESAURUS):
+        return 0.95
+    if t in known:
+        return 0.0
+    if (len(t) >= 3 and u.startswith(t)) or (len(u) >= 4 and t.startswith(u)):
+        return 0.95
+    s = spelling(t, u)
+    return s if s >= SPELLING else 0.0
+
+
+def name_similarity(a: list[str], b: list[str]) -> float:
+    """Shared pairs of letters of two whole names (Dice)."""
+    x, y = " ".join(a), " ".join(b)
+    if x == y:
+        return 1.0
+    p, q = ([z[i : i + 2] for i in range(len(z) - 1)] for z in (x, y))
+    both = sum((Counter(p) & Counter(q)).values())
+    return 2 * both / max(len(p) + len(q), 1)
+
+
 def value_form(kind: Column, text: Column) -> Column:
     """A coarse form of a value's text."""
     t = F.trim(text)
@@ -143,64 +203,90 @@ def file_fields(parsed: DataFrame) -> DataFrame:
 def flood(
     headers: Sequence[tuple[str, str | None, str | None, str | None]],
     project: Sequence[Field] = PROJECT,
-    floor: float = 0.75,
+    floor: float = 0.64,
     eps: float = 1e-3,
     most: int = 60,
 ) -> dict[str, str]:
-    """Correspondences header -> project column of one file's schema; headers are (header, kind, form, names).
-
-    The fixpoint is s' = norm(s0 + s + what the neighbouring pairs hand on), where a pair of fields neighbours the pairs
-    of its words, kinds, forms and nested names."""
+    """Correspondences header -> project column of one file's schema; headers are (header, kind, form, names). most: rounds
+    of propagation, none of which leaves the similarity of whole names alone."""
     if not headers:
         return {}
     project = tuple(project)
+    s = scores(headers, project, eps, most)
+    out: dict[str, str] = {}
+    taken: set[int] = set()
+    # best first is the stable assignment where both sides rank pairs by one score; ties: the shorter header
+    for _, _, i, j in sorted((-s[i, j], len(headers[i][0]), i, j) for i, j in zip(*np.nonzero((s >= floor) & (s >= NEAR_BEST * s.max(1, keepdims=True))))):
+        if headers[i][0] not in out and j not in taken:
+            out[headers[i][0]] = project[j].name
+            taken.add(j)
+    return out
+
+
+def scores(headers: Sequence[tuple[str, str | None, str | None, str | None]], project: tuple[Field, ...], eps: float = 1e-3, most: int = 60) -> np.ndarray:
+    """Converged similarity of every header and column, from 0 to 1."""
     words_p, known = _project_words(project)
     words_h = [_header_words(h, known) for h, *_ in headers]
-    s0 = np.array([_similar_names(h, project) for h, *_ in headers])
-    labels = [
-        (words_h, words_p, 0.5),
-        ([[k] if k else [] for _, k, _, _ in headers], [list(f.kinds) for f in project], 0.15),
-        ([[f] if f else [] for _, _, f, _ in headers], [list(f.forms) + (["object"] if "object" in f.kinds else []) for f in project], 0.25),
-        ([n.split(",") if n else [] for *_, n in headers], [list(f.nested) for f in project], 0.1),
-    ]
-    graphs = []
-    for a, b, share in labels:
-        na, nb = sorted({x for r in a for x in r}), sorted({x for r in b for x in r})
-        if not na or not nb:
-            continue
-        ea, eb = _incidence(a, na), _incidence(b, nb)
-        at = {y: j for j, y in enumerate(nb)}
-        same = np.zeros((len(na), len(nb)))
-        for i, x in enumerate(na):
-            if x in at:
-                same[i, at[x]] = 1.0
-        graphs.append((ea, eb.T, same, share, _columns(ea).T, _columns(eb)))
-    s, nodes = s0.copy(), [g[2].copy() for g in graphs]
+    whole = np.array([_whole_names(h, project) for h, *_ in headers])
+    base = (1 - sum(SHARES.values())) * whole
+    base += SHARES["kinds"] * np.array([[1.0 if k is None else float(k in f.kinds) for f in project] for _, k, _, _ in headers])
+    base += SHARES["forms"] * np.array([[_form_similarity(form, names, f) for f in project] for _, _, form, names in headers])
+    # word pairs with their own similarity, and the field pairs around each
+    vocabulary_h, vocabulary_p = sorted({t for ws in words_h for t in ws}), sorted(known)
+    own = np.array([[word_similarity(t, u, known) for u in vocabulary_p] for t in vocabulary_h]).reshape(len(vocabulary_h), len(vocabulary_p))
+    initials = {i: j for i, ws in enumerate(words_h) for t in ws[:1] for j, us in enumerate(words_p) if len(us) > 1 and t not in known and t == "".join(u[0] for u in us)}
+    at_h, at_p = {t: i for i, t in enumerate(vocabulary_h)}, {u: j for j, u in enumerate(vocabulary_p)}
+    rows, cols = _padded([[at_h[t] for t in ws] for ws in words_h]), _padded([[at_p[u] for u in us] for us in words_p])
+    foreign = np.array([t not in known and own[i].max(initial=0.0) == 0.0 for t, i in at_h.items()])
+    for i, j in initials.items():  # initials stand for each word
+        own[rows[i, 0], cols[j][cols[j] >= 0]] = 0.95
+        foreign[rows[i, 0]] = False
+    alone = np.where(foreign, FOREIGN, np.where([t in known for t in vocabulary_h], CONTEXT, 1.0))
+    here = (rows >= 0)[:, :, None, None] & (cols >= 0)[None, None]
+    pairs = np.broadcast_to(rows[:, :, None, None], here.shape)[here], np.broadcast_to(cols[None, None], here.shape)[here]
+    s, words = whole.copy(), own.copy()
     for _ in range(most):
-        new = s0 + s
-        for (ea, eb, _, share, _, _), t in zip(graphs, nodes):
-            new = new + share * (ea @ t @ eb)
-        fresh = []
-        for (_, _, t0, _, ca, cb), t in zip(graphs, nodes):
-            up = t0 + t + ca @ s @ cb
-            fresh.append(up / max(up.max(), 1e-9))
-        new = new / max(new.max(), 1e-9)
+        block = np.where(here, words[rows[:, :, None, None], cols[None, None]], 0.0)
+        new = base + SHARES["words"] * _word_agreement(block, np.where(rows >= 0, alone[rows], 0.0), (cols >= 0).sum(1))
         moved = np.abs(new - s).max()
-        s, nodes = new, fresh
+        s = new
+        # what a word pair's fields are worth against the rivals of either
+        rel = s / np.maximum(np.maximum(s.max(1, keepdims=True), s.max(0, keepdims=True)), 1e-9)
+        support = np.zeros_like(own)
+        np.maximum.at(support, pairs, np.broadcast_to(rel[:, None, :, None], here.shape)[here])
+        words = own * (0.7 + 0.3 * support)
         if moved < eps:
             break
-    # a name has to carry the match: what the neighbours add orders the candidates, the floor is on names and forms
-    score = np.where(s0 > 0, s0 * 0.85 + 0.15 * s / np.maximum(s.max(1, keepdims=True), 1e-9), 0)
-    out: dict[str, str] = {}
-    taken: set[int] = set()
-    order = sorted(((-score[i, j], len(headers[i][0]), i, j) for i in range(len(headers)) for j in range(len(project)) if score[i, j] >= floor))
-    for _, _, i, j in order:
-        if headers[i][0] not in out and j not in taken:
-            out[headers[i][0]] = project[j].name
-            taken.add(j)
+    return s
+
+
+def _padded(lists: list[list[int]]) -> np.ndarray:
+    """The lists as rows, filled up with -1."""
+    out = np.full((len(lists), max(map(len, lists), default=1) or 1), -1)
+    for i, x in enumerate(lists):
+        out[i, : len(x)] = x
     return out
 
 
+def _word_agreement(block: np.ndarray, alone: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How far the words of each header are found in each column, and less, the column's in the header. block: similarity
+    by header, its word, column, its word; alone: what a header's word weighs where it isn't found."""
+    best = block.max(3)
+    weight = np.where((best > 0) & (alone > 0)[:, :, None], 1.0, alone[:, :, None])
+    found = (weight * best).sum(1) / np.maximum(weight.sum(1), 1e-9)
+    return found * (0.75 + 0.25 * block.max(1).sum(2) / np.maximum(count, 1))
+
+
+def _form_similarity(form: str | None, names: str | None, f: Field) -> float:
+    """Plain words may stand for anything; other forms are the column's or they aren't."""
+    if form is None:
+        return 0.5
+    if form == "object":
+        mine = set(names.split(",")) if names else set()
+        return len(mine & set(f.nested)) / max(len(mine | set(f.nested)), 1)
+    return 1.0 if form in f.forms else 0.5 if form == "words" else 0.0
+
+
 @lru_cache(maxsize=8)
 def _project_words(project: tuple[Field, ...]) -> tuple[list[list[str]], frozenset[str]]:
     words = [stems(f.name) for f in project]
@@ -213,32 +299,9 @@ def _header_words(header: str, known: frozenset[str]) -> list[str]:
 
 
 @lru_cache(maxsize=10_000)
-def _similar_names(header: str, project: tuple[Field, ...]) -> tuple[float, ...]:
+def _whole_names(header: str, project: tuple[Field, ...]) -> tuple[float, ...]:
     words, known = _project_words(project)
-    return tuple(_name_similarity(_header_words(header, known), w, known) for w in words)
-
-
-def _incidence(rows: list[list[str]], names: list[str]) -> np.ndarray:
-    at = {x: i for i, x in enumerate(names)}
-    m = np.zeros((len(rows), len(names)))
-    for i, r in enumerate(rows):
-        for x in r:
-            m[i, at[x]] = 1 / len(r)
-    return m
-
-
-def _columns(m: np.ndarray) -> np.ndarray:
-    return m / np.maximum(m.sum(0, keepdims=True), 1e-9)
-
-
-def _name_similarity(a: list[str], b: list[str], known: frozenset[str]) -> float:
-    """Words shared, against words of the header that say something else and, less, words of the column left out."""
-    like = lambda x, y: x == y or (len(x) >= 3 and y.startswith(x))  # an abbreviation stands for its word
-    both = [w for w in a if any(like(w, y) for y in b)]
-    if not both:
-        return 0.0
-    extra = sum(0.3 if w in known else 1.0 for w in a if w not in both)
-    return len(both) / (len(both) + extra + 0.25 * sum(not any(like(w, y) for w in a) for y in b))
+    return tuple(name_similarity(_header_words(header, known), w) for w in words)
 
 
 def match_files(fields: DataFrame, project: Sequence[Field] = PROJECT) -> DataFrame:

@@ -59,6 +59,46 @@ def test_other_fields_keep_their_header(header):
     assert S.flood([(header, "number", "9 six", None)]) == {}
 
 
+@pytest.mark.parametrize(
+    ("header", "kind", "form", "champ"),
+    [
+        ("SALAIRE_BRT", "number", "9 six", "SALAIRE_BRUT"), ("SALARE_BRUT", "number", "9 six", "SALAIRE_BRUT"), ("Salaires bruts", "text", "9 grouped", "SALAIRE_BRUT"), ("Salaire mensuel brut", "number", "9 six", "SALAIRE_BRUT"),
+        ("Gross salary", "number", "9 six", "SALAIRE_BRUT"), ("Employer Number", "text", "9 seven", "NUMERO_EMPLOYEUR"), ("Matricule salarie", "text", "AA9", "ID_INDIV"), ("NUMRO EMPLOYUER", "number", "9 seven", "NUMERO_EMPLOYEUR"),
+    ],
+)
+def test_unseen_headers_with_matching_values(header, kind, form, champ):
+    assert S.flood([(header, kind, form, None)]) == {header: champ}
+
+
+def test_values_decide_where_names_leave_it_open():
+    """The same header, once with an identity number's values, once with a flag's."""
+    assert S.flood([("Matricule salarie", "text", "AA9", None)]) == {"Matricule salarie": "ID_INDIV"}
+    assert S.flood([("Matricule salarie", "number", "decimal", None)]) == {}
+
+
+def test_propagation_decides():
+    headers = [(" ID_INDIV", "text", "AA9", None), ("RS_EMPLOYEUR", "text", "words", None), ("NO_EMPLOYEUR", "text", "9 seven", None), ("GENRE", "text", "letter", None), ("NE_LE", "text", "date", None),
+               ("REMUNERATION_BRUTE", "number", "9 six", None), ("SALAIRE_NET", "number", "9 six", None), ("COMMUNE_EMPLOYEUR", "text", "words", None)]
+    want = {" ID_INDIV": "ID_INDIV", "RS_EMPLOYEUR": "RAISON_SOCIALE", "NO_EMPLOYEUR": "NUMERO_EMPLOYEUR", "GENRE": "SEXE", "NE_LE": "DATE_NAISSANCE", "REMUNERATION_BRUTE": "SALAIRE_BRUT", "COMMUNE_EMPLOYEUR": "COMMUNE"}
+    assert S.flood(headers) == want
+    names_alone = S.flood(headers, most=0)
+    assert names_alone != want and names_alone["SALAIRE_NET"] == "SALAIRE_BRUT" and "GENRE" not in names_alone
+    # rivals weigh on a word: with the wage itself in the file, SALARE speaks of it and no longer of the workers
+    few, many = (S.scores([("SALARE", "number", "9 six", None), ("SALAIRE_BRUT", "number", "9 six", None)], S.PROJECT, most=m) for m in (1, 60))
+    assert (few != many).any()
+
+
+def test_scores_converge():
+    headers = [(f.name, f.kinds[0], f.forms[0], None) for f in S.PROJECT]
+    a, b = S.scores(headers, S.PROJECT, most=60), S.scores(headers, S.PROJECT, most=200)
+    assert abs(a - b).max() < 1e-3 and S.flood(headers) == {f.name: f.name for f in S.PROJECT}
+
+
+def test_second_header_of_a_column_does_not_take_another():
+    got = S.flood([("DATE_EMBAUCHE", "text", "date", None), ("DT_EMBAUCHE", "text", "date", None)])
+    assert got == {"DATE_EMBAUCHE": "DATE_EMBAUCHE"}
+
+
 def test_one_header_per_column():
     got = S.flood([("SALAIRE_BRUT", "number", "9 six", None), ("Salaire brut", "number", "9 six", None)])
     assert got == {"SALAIRE_BRUT": "SALAIRE_BRUT"} or len(got) == 1
