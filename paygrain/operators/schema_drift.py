@@ -365,21 +365,33 @@ def schema_changes(raw: DataFrame, project: Sequence[Field] = PROJECT) -> DataFr
 
 def unify(raw: DataFrame, project: Sequence[Field] = PROJECT) -> DataFrame:
     """One consistent, typed table of all files: fichier, ligne_id, the project's columns, and autres (map of the fields
-    the project doesn't have). Numbers are read from text with blanks and commas and from objects; dates from text and
-    from serial day numbers. What can't be cast is null. Unreadable rows stay, with all fields null."""
-    parsed = parse(raw)
-    match = match_files(file_fields(parsed), project).select("fichier", "header", "champ")
-    pick = {"NUMERO_EMPLOYEUR": "$.numero", "SALAIRE_BRUT": "$.montant"}
-    text = F.col("text")
-    for c, at in pick.items():
-        text = F.when((F.col("champ") == c) & (F.col("kind") == "object"), F.get_json_object(F.col("text"), at)).otherwise(text)
-    cells = parsed.join(match, ["fichier", "header"]).select("ligne_id", "champ", text.alias("text"))
-    names = [f.name for f in project]
-    own = {f.name: F.max(F.when(F.col("champ") == f.name, F.col("text"))) for f in project}
-    rest = F.filter(F.collect_list(F.when(~F.col("champ").isin(*names), F.struct("champ", "text"))), lambda x: x.isNotNull())
-    wide = cells.groupBy("ligne_id").agg(*[e.alias(n) for n, e in own.items()], F.map_from_entries(F.array_distinct(rest)).alias("autres"))
-    cast = [_cast(F.col(f.name), f.type).alias(f.name) for f in project]
-    return raw.select("fichier", "ligne_id").join(wide, "ligne_id", "left").select("fichier", "ligne_id", *cast, "autres")
+    the project doesn't have). Numbers are read from text with blanks and commas and from objects (the first of the
+    column's nested names); dates from text and from serial day numbers. What can't be cast is null. Unreadable rows
+    stay, with all fields null.
+
+    A row keeps its keys together: it meets its file's correspondences, one map a file, and is cast where it stands."""
+    match = materialise(match_files(file_fields(parse(raw)), project), "schema-table-matches")
+    pairs = F.map_from_entries(F.collect_list(F.struct("champ", "header")))
+    files = match.groupBy("fichier").agg(pairs.alias("_headers"))
+    v = F.try_parse_json("contenu")
+    cells = F.expr("try_variant_get(_v, '$', 'map<string,variant>')")
+    # keys of a map of files without a month in their name are looked up like any other
+    d = raw.select("fichier", "ligne_id", v.alias("_v")).withColumn("_m", F.when(F.expr("schema_of_variant(_v)").startswith("OBJECT"), cells)).drop("_v").join(files, "fichier", "left")
+    cast = [_cast(_text(f), f.type).alias(f.name) for f in project]
+    names = F.array(*[F.lit(f.name) for f in project])
+    own = F.transform(F.filter(F.map_entries("_headers"), lambda e: F.array_contains(names, e["key"])), lambda e: e["value"])
+    rest = F.filter(F.map_keys("_m"), lambda k: ~F.array_contains(own, k))
+    others = F.map_from_arrays(rest, F.transform(rest, lambda k: F.try_variant_get(F.col("_m")[k], "$", "string")))
+    return d.select("fichier", "ligne_id", *cast, F.when(F.col("_m").isNotNull(), others).alias("autres"))
+
+
+def _text(f: Field) -> Column:
+    """The text of the column's cell in a row: of an object its first nested name, where the column has any."""
+    x = F.col("_m")[F.col("_headers")[f.name]]
+    text = F.try_variant_get(x, "$", "string")
+    if not f.nested:
+        return text
+    return F.when(F.schema_of_variant(x).startswith("OBJECT"), F.try_variant_get(x, f"$.{f.nested[0]}", "string")).otherwise(text)
 
 
 def _cast(c: Column, to: str) -> Column:

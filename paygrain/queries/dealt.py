@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import fill, profile, schema_drift, snapshots, spikes
 from ..session import table
@@ -31,8 +32,10 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
-    """The one consistent table of all files."""
-    return schema_drift.unify(table(spark, d, "lignes_brutes"))
+    """The one consistent table of all files; autres as text, in order."""
+    t = schema_drift.unify(table(spark, d, "lignes_brutes"))
+    pair = lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))
+    return t.withColumn("autres", F.array_join(F.transform(F.array_sort(F.map_entries("autres")), pair), ";"))
 
 
 def p3_changes(spark: SparkSession, d: str) -> DataFrame:

@@ -58,6 +58,37 @@ SELECT fichier, champ, 'added' changement FROM d WHERE h0 IS NULL UNION ALL SELE
 UNION ALL SELECT fichier, champ, 'renamed' FROM d WHERE h0 <> h1 UNION ALL SELECT fichier, champ, 'retyped' FROM d WHERE q0 <> q1
 """
 
+#: The project's columns and their types, and the value's name in columns that may hold objects.
+_TEXTS = ("ID_INDIV", "NUMERO_EMPLOYEUR", "SEXE", "TYPE_SALARIE", "SITUATION_MATRIMONIALE", "NIVEAU_ETUDE", "PROFESSION", "STATUT_TRAVAILLEUR", "CSP_CODE", "PROF_CODE", "RAISON_SOCIALE", "SECTEUR_ACTIVITE", "COMMUNE", "LIBELLE_AGENCE")
+_DOUBLES = ("SALAIRE_BRUT", "DUREE_TRAVAILLEE", "CATEGORIE_ENTREPRISE", "EFFECTIF_SALARIES")
+_DATES = ("DATE_NAISSANCE", "DATE_EMBAUCHE", "DATE_IMMATRICULATION", "DATE_IMMAT_EMPLOYEUR", "DATE_DEBUT_ACT_EMPLOY")
+_OWN = ", ".join(f"'{c}'" for c in _TEXTS + _DOUBLES + _DATES)
+
+
+def _p2_table() -> str:
+    """Every row's cells by column, cast; rows that are no whole object keep their place."""
+    of = lambda c: f"nullif(trim(max(t) FILTER (c = '{c}')), '')"
+    text = ", ".join(f"regexp_replace({of(c)}, '\\.0$', '') {c}" for c in _TEXTS)
+    num = ", ".join(f"try_cast(replace(regexp_replace({of(c)}, '[\\s\u00a0\u202f]', '', 'g'), ',', '.') AS DOUBLE) {c}" for c in _DOUBLES)
+    day = ", ".join(
+        f"""CASE WHEN regexp_matches({of(c)}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}') THEN try_strptime({of(c)}[:10], '%d/%m/%Y')::DATE
+WHEN regexp_matches({of(c)}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN try_cast({of(c)}[:10] AS DATE)
+WHEN try_cast({of(c)} AS DOUBLE) > 0 AND try_cast({of(c)} AS DOUBLE) < 73051 THEN DATE '1899-12-30' + floor(try_cast({of(c)} AS DOUBLE))::INT END {c}"""
+        for c in _DATES
+    )
+    return f"""
+WITH ok AS (SELECT ligne_id, contenu::JSON j FROM lignes_brutes WHERE json_valid(contenu) AND json_type(contenu) = 'OBJECT'),
+k AS (SELECT ligne_id, j, unnest(json_keys(j)) h FROM ok),
+v AS (SELECT ligne_id, h, j -> ('$."' || h || '"') x FROM k),
+names AS (SELECT * FROM (VALUES {_VALUES}) t(h, c)),
+g AS (SELECT ligne_id, coalesce(c, h) c, CASE WHEN json_type(x) = 'OBJECT' AND coalesce(c, h) = 'NUMERO_EMPLOYEUR' THEN x ->> '$.numero'
+    WHEN json_type(x) = 'OBJECT' AND coalesce(c, h) = 'SALAIRE_BRUT' THEN x ->> '$.montant' ELSE x ->> '$' END t FROM v LEFT JOIN names USING (h)),
+w AS (SELECT ligne_id, {text}, {num}, {day}, coalesce(string_agg(c || '=' || coalesce(t, ''), ';' ORDER BY c) FILTER (c NOT IN ({_OWN})), '') autres FROM g GROUP BY ligne_id),
+e AS (SELECT ligne_id, '' autres FROM ok WHERE len(json_keys(j)) = 0)
+SELECT r.fichier, r.ligne_id, w.* EXCLUDE (ligne_id, autres), coalesce(w.autres, e.autres) autres FROM lignes_brutes r LEFT JOIN w USING (ligne_id) LEFT JOIN e USING (ligne_id)
+"""
+
+
 _P3 = """
 WITH h AS (SELECT instantane s, coalesce(nullif(trim(id_indiv), ''), 'NA') || '_' || coalesce(nullif(trim(numero_employeur), ''), 'NA') || '_' || coalesce(nullif(trim(period), ''), 'NA') k,
     max_by({'a': nullif(trim(type_salarie), ''), 'b': nullif(trim(csp_code), ''), 'c': nullif(trim(commune), ''), 'd': nullif(trim(secteur_activite_cod), ''),
@@ -111,4 +142,4 @@ UNION ALL SELECT 'base_analytique', ligne_id, 'numero_employeur' FROM x WHERE e
 UNION ALL SELECT 'panel_employeur', ligne_id, 'd_jt' FROM p WHERE ok IS NOT TRUE AND n > 0
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p3_found": _P3, "p4_found": _p4(), "p6_found": _P6}
+ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p4_found": _p4(), "p6_found": _P6}
