@@ -1,15 +1,14 @@
 """Column profiles of loads: aggregates, induced expressions, drift between loads.
 
 Expressions are induced by minimum description length over all distinct values. A value generalises to its shape: runs
-of one character class (A-Z, a-z, other letters, digits; other characters as they are) with their lengths. Candidate
-expressions are the shapes at three levels - exact lengths, open lengths, classes merged to word and digit runs. The
-cost of an expression is the bits to write it plus, for each distinct value it takes, the bits to tell the value among
-those it allows; the selection goes greedily through the candidates, ordered by cost saved against writing the values
-out, and takes those that lower the total. Values no selected expression takes stay literal: they are nonconforming.
-
-Shapes are counted distributed. What reaches the driver for a column are the shapes that alone carry an expression's least
-share, and the rest as sums per form with open lengths, or per merged form - at most a few hundred rows however many
-shapes there are, since a form under the least share cannot be selected.
+of one character class (A-Z, a-z, other letters, digits; other characters as they are) with their lengths. The shapes of
+one form with open lengths, and the forms with one row of word and digit runs, make up a tree of three levels. An
+expression costs the bits of its text, and for each distinct value it takes the bits to name it, to tell the shape among
+those of the form, and to tell the value among those the shape allows; a value that no expression takes is written out.
+From the leaves up, a form is described as one expression or by what is best below it, whichever is shorter: the
+selection of least total length. Values written out are nonconforming.
+
+All of it is sums per shape, per form and per row of runs: nothing is collected, and any number of shapes is judged.
 """
 
 from __future__ import annotations
@@ -25,46 +24,44 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Text of a class and the characters it holds.
+_CLASS = {"A": ("[A-Z]", 26), "a": ("[a-z]", 26), "9": ("[0-9]", 10), "L": (r"[\p{L}&&[^A-Za-z]]", 400), "w": (r"[\p{L}0-9]", 62)}
+
+
 def shape(c: Column) -> Column:
     """`GP852204890` -> `AA999999999`: A for A-Z, a for a-z, L for any other letter, 9 for a digit; the rest stands for itself."""
-    s = F.translate(c, "\\{}", "\u0001\u0002\u0003")
-    for rx, to in (("[0-9]", "9"), ("[A-Z]", "A"), ("[a-z]", "a"), (r"[\p{L}&&[^Aa]]", "L")):
-        s = F.regexp_replace(s, rx, to)
-    return s
+    s = F.translate(c, _UPPER + _LOWER + _DIGITS, "A" * 26 + "a" * 26 + "9" * 10)
+    return F.when(s.rlike(r"[^\x00-\x7F]"), F.regexp_replace(s, r"[\p{L}&&[^Aa]]", "L")).otherwise(s)
 
 
 def runs(shape_text: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int]] = []
     for ch in shape_text:
-        if out and out[-1][0] == ch:
+        if out and out[-1][0] == ch and ch in _CLASS:
             out[-1] = (ch, out[-1][1] + 1)
         else:
             out.append((ch, 1))
     return out
 
 
-_CLASS = {"A": ("[A-Z]", 26), "a": ("[a-z]", 26), "9": ("[0-9]", 10), "L": (r"[\p{L}&&[^A-Za-z]]", 400), "w": (r"[\p{L}0-9]", 62)}
+def loose_form(shape_text: str) -> str:
+    return "".join(c for c, _ in runs(shape_text))
 
 
-def expressions(shape_text: str) -> list[tuple[str, float, float]]:
-    """(regular expression, bits to write it, bits to tell a value of this shape among those it allows), three levels."""
-    rs = runs(shape_text)
-    out = []
-    tight = "".join((_CLASS[c][0] if c in _CLASS else re.escape(c)) + (f"{{{n}}}" if n > 1 else "") for c, n in rs)
-    bits = sum(n * math.log2(_CLASS[c][1]) for c, n in rs if c in _CLASS)
-    out.append((tight, 8.0 * len(rs) + 6, bits))
-    loose = "".join((_CLASS[c][0] + "+") if c in _CLASS else re.escape(c) for c, _ in rs)
-    out.append((loose, 6.0 * len(rs) + 6, bits + 5 * sum(c in _CLASS for c, _ in rs)))
-    merged: list[tuple[str, int]] = []
-    for c, n in rs:
-        c = "w" if c in _CLASS else c
-        if merged and merged[-1][0] == c == "w":
-            merged[-1] = (c, merged[-1][1] + n)
-        else:
-            merged.append((c, n))
-    word = "".join((_CLASS["w"][0] + "+") if c == "w" else re.escape(c) for c, _ in merged)
-    out.append((word, 6.0 * len(merged) + 6, sum((n * math.log2(62) + 5) for c, n in merged if c == "w")))
-    return out
+def word_form(shape_text: str) -> str:
+    return re.sub("[Aa9L]+", "w", shape_text)
+
+
+def regex(form: str, level: int) -> str:
+    """The regular expression of a shape (level 0), a form with open lengths (1) or a row of word and digit runs (2)."""
+    size = lambda n: "+" if level else f"{{{n}}}" if n > 1 else ""
+    return "".join((_CLASS[c][0] + size(n)) if c in _CLASS and (c == "w") == (level == 2) else "\\" + c for c, n in runs(form))
+
+
+def value_bits(shape_text: str, level: int) -> float:
+    """Bits to tell a value of the shape among those it allows."""
+    return sum(n * math.log2(_CLASS["w" if level == 2 else c][1]) for c, n in runs(shape_text) if c in "Aa9L")
 
 
 @dataclass(frozen=True)
@@ -74,41 +71,35 @@ class Expression:
     values: int
 
 
-#: An expression has to carry at least one value in so many; rarer forms are exceptions.
-LEAST = 200
-
-
-def induce(counts: Sequence[tuple], literal_bits: float = 8.0, total: int | None = None) -> list[Expression]:
-    """Expressions of a column from (shape, distinct values[, level]), by description length; empty without values. level:
-    0 for a shape, 1 or 2 for a sum over the shapes of one form with open lengths or merged classes, for which the shape
-    given stands. total: distinct values of the column, if the counts leave some out."""
-    by: dict[str, list] = {}
-    rows = [(c[0], c[1], c[2] if len(c) > 2 else 0) for c in counts]
-    for k, (s, n, from_) in enumerate(rows):
-        raw = (literal_bits * len(s) + 2) * n
-        for level, (rx, cost, bits) in enumerate(expressions(s)):
-            if level >= from_:
-                by.setdefault(rx, [level, cost, {}])[2][k] = (n, raw, bits * n)
-    total = max(1, sum(n for _, n, _ in rows)) if total is None else max(1, total)
-    chosen: list[Expression] = []
-    left = set(range(len(rows)))
-    while left:
-        best, gain = None, 0.0
-        for rx, (level, cost, cover) in by.items():
-            own = [k for k in cover if k in left]
-            if not own:
-                continue
-            n = sum(cover[k][0] for k in own)
-            # naming the expression for each value costs the code length of its share
-            name = -math.log2(n / (total + 1)) * n
-            saved = sum(cover[k][1] - cover[k][2] for k in own) - cost - name - level * math.log2(total + 1) * len(own)
-            if n * LEAST >= total and saved > gain:
-                best, gain = (rx, own, n), saved
-        if best is None:
-            break
-        chosen.append(Expression(best[0], frozenset(rows[k][0] for k in best[1]), best[2]))
-        left -= set(best[1])
-    return chosen
+def induce(counts: Sequence[tuple[str, int]]) -> list[Expression]:
+    """Expressions of a column from (shape, distinct values), those of most values first; empty without values. The same
+    selection as `induced`, for counts at hand."""
+    total = sum(n for _, n in counts)
+    name = lambda n: n * math.log2((total + 1) / n)
+    open_ = math.log2(total + 1)
+    tree: dict[str, dict[str, list[tuple[str, int]]]] = {}
+    for s, n in counts:
+        tree.setdefault(word_form(s), {}).setdefault(loose_form(s), []).append((s, n))
+    out: list[Expression] = []
+    for word, forms in tree.items():
+        below, picked = 0.0, []
+        for form, shapes in forms.items():
+            best, tight = 0.0, []
+            for s, n in shapes:
+                literal, own = (8 * len(s) + 2) * n, 8 * len(regex(s, 0)) + value_bits(s, 0) * n + name(n)
+                best += min(literal, own)
+                if own < literal:
+                    tight.append(Expression(regex(s, 0), frozenset([s]), n))
+            k, m = len(shapes), sum(n for _, n in shapes)
+            own = 8 * len(regex(form, 1)) + sum(value_bits(s, 0) * n for s, n in shapes) + m * math.log2(k) + name(m) + open_ * k
+            loose = k > 1 and own < best
+            below += min(own, best) if k > 1 else best
+            picked += [Expression(regex(form, 1), frozenset(s for s, _ in shapes), m)] if loose else tight
+        shapes = [x for f in forms.values() for x in f]
+        k, m = len(shapes), sum(n for _, n in shapes)
+        own = 8 * len(regex(word, 2)) + sum(value_bits(s, 2) * n for s, n in shapes) + m * math.log2(k) + name(m) + 2 * open_ * k
+        out += [Expression(regex(word, 2), frozenset(s for s, _ in shapes), m)] if k > 1 and own < below else picked
+    return sorted(out, key=lambda e: (-e.values, e.regex))
 
 
 @dataclass(frozen=True)
@@ -178,73 +169,87 @@ def profile_loads(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame
 
     Empty text is a value; NaN counts as null. Loads without a name are left out; an empty table gives no row."""
     values = long_values(df, spec) if values is None else values
-    t = _text(df)
     rng = F.lit(False)
     for c, lo, hi in spec.ranges:
         rng = F.when(F.col("colonne") == c, F.coalesce((F.col("x") < lo) | (F.col("x") > hi), F.lit(False))).otherwise(rng)
-    forms = induced(values.withColumn("v", t), _columns(df, spec) if formed is None else formed, spec)
-    fits, main, mainly = F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(False)
-    for c, rxs in forms.items():
-        any_of = "|".join(f"(?:{e.regex})" for e in rxs)
-        fits = F.when(F.col("colonne") == c, t.rlike(f"^(?:{any_of})$") if rxs else F.lit(False)).otherwise(fits)
-        if rxs:
-            first = max(rxs, key=lambda e: e.values).regex
-            main = F.when(F.col("colonne") == c, F.lit(first)).otherwise(main)
-            mainly = F.when(F.col("colonne") == c, t.rlike(f"^(?:{first})$")).otherwise(mainly)
-    # a value is tried against the declared expression where no induced expression that keeps to it takes the value
-    vio = F.lit(False)
-    for c, rx in spec.patterns:
-        own = [e.regex for e in forms.get(c, ()) if all(re.fullmatch(rx, s.replace("L", "\u00c9")) for s in e.shapes)]
-        taken = F.col("v").rlike(f"^(?:{'|'.join(f'(?:{e})' for e in own)})$") if own else F.lit(False)
-        vio = F.when(F.col("colonne") == c, F.coalesce(~taken & ~F.col("v").rlike(rx), F.lit(False))).otherwise(vio)
     some = F.col("v").isNotNull()
-    rows = F.sum(F.when(some, F.col("rows")).otherwise(0))
-    return values.groupBy(spec.load, "colonne").agg(
+    figures = values.groupBy(spec.load, "colonne").agg(
         F.sum("rows").alias("rows"),
         F.sum(F.when(some, F.lit(0)).otherwise(F.col("rows"))).alias("nulls"),
         F.count("v").alias("distinct"),
         F.min("x").alias("least"),
         F.max("x").alias("most"),
         F.sum(F.when(rng, F.col("rows")).otherwise(0)).alias("out_of_range"),
+    )
+    took, forms = _expressed(df, values, _columns(df, spec) if formed is None else formed, spec)
+    # what an induced expression takes that is the declared one itself conforms; the rest is tried against it
+    vio = F.lit(False)
+    for c, rx in spec.patterns:
+        declared = F.coalesce(F.col("expression") == rx.removeprefix("^").removesuffix("$"), F.lit(False))
+        vio = F.when(F.col("colonne") == c, ~declared & ~F.col("v").rlike(rx)).otherwise(vio)
+    main = forms.where("expression IS NOT NULL").groupBy("colonne").agg(F.max_by("expression", F.struct("values", "expression")).alias("main"))
+    took = took.join(F.broadcast(main), "colonne", "left")  # one row per column
+    mainly = F.col("expression") == F.col("main")
+    form_figures = took.groupBy(spec.load, "colonne").agg(
         F.sum(F.when(vio, F.col("rows")).otherwise(0)).alias("violations"),
-        F.sum(F.when(some & ~fits, F.col("rows")).otherwise(0)).alias("foreign"),
-        F.max(main).alias("main"),
-        F.when(F.max(main).isNotNull(), F.round(F.try_divide(F.sum(F.when(some & mainly, F.col("rows")).otherwise(0)).cast("double"), rows), 6)).alias("main_coverage"),
+        F.sum(F.when(F.col("expression").isNull(), F.col("rows")).otherwise(0)).alias("foreign"),
+        F.max("main").alias("main"),
+        F.round(F.sum(F.when(mainly, F.col("rows")).otherwise(0)).cast("double") / F.sum("rows"), 6).alias("main_coverage"),
+    )
+    out = figures.join(form_figures, [spec.load, "colonne"], "left").join(F.broadcast(main.withColumnRenamed("main", "_main")), "colonne", "left")
+    none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select(
+        spec.load, "colonne", "rows", "nulls", "distinct", "least", "most", "out_of_range", none("violations"), none("foreign"), F.col("_main").alias("main"), F.when(F.col("_main").isNotNull(), F.col("main_coverage")).alias("main_coverage")
     )
 
 
-def induced(values: DataFrame, columns: Sequence[str], spec: LoadSpec = LoadSpec()) -> dict[str, list[Expression]]:
-    """Expressions per column over the text forms of all distinct values of all loads."""
-    shapes = (
-        values.where(F.col("colonne").isin(*columns) & F.col("v").isNotNull())
-        .groupBy("colonne", "v")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("colonne", shape(F.col("v")).alias("shape"))
-        .agg(F.count("*").alias("n"))
-    )
-    shapes = shapes.withColumn("loose", _collapsed(F.col("shape")))
-    shapes = materialise(shapes.withColumn("word", F.regexp_replace("loose", "[AaL9]+", "w")), "load-shapes")
-    totals = shapes.groupBy("colonne").agg(F.sum("n").alias("total"))
-    rare = lambda d: d.join(F.broadcast(totals), "colonne").where(F.col("n") * LEAST < F.col("total")).drop("total")  # one row per column
-    often = lambda d: d.join(F.broadcast(totals), "colonne").where(F.col("n") * LEAST >= F.col("total")).drop("total")
-    stands = lambda d, *keys: d.groupBy("colonne", *keys).agg(F.max_by("shape", F.struct("n", "shape")).alias("shape"), F.sum("n").alias("n"))
-    rest = stands(rare(shapes), "word", "loose")
-    last = stands(rare(rest), "word")
-    kept = often(shapes).select("colonne", "shape", "n", F.lit(0).alias("level"))
-    for d, level in ((often(rest), 1), (often(last), 2)):
-        kept = kept.unionByName(d.select("colonne", "shape", "n", F.lit(level).alias("level")))
-    back = lambda s: s.replace("\u0001", "\\").replace("\u0002", "{").replace("\u0003", "}")
-    by: dict[str, list[tuple[str, int, int]]] = {c: [] for c in columns}
-    for r in kept.orderBy("colonne", "level", F.desc("n"), "shape").collect():
-        by[r["colonne"]].append((back(r["shape"]), r["n"], r["level"]))
-    total = {r["colonne"]: r["total"] for r in totals.collect()}
-    return {c: induce(v, total=total.get(c)) for c, v in by.items()}
-
-
-def _collapsed(s: Column) -> Column:
-    for c in "Aa9L":
-        s = F.regexp_replace(s, f"{c}+", c)
-    return s
+def _expressed(df: DataFrame, values: DataFrame, columns: Sequence[str], spec: LoadSpec) -> tuple[DataFrame, DataFrame]:
+    """The values of the columns with the expression that takes each, null for those written out; and the expressions."""
+    formed = values.where(F.col("colonne").isin(*columns) & F.col("v").isNotNull()).withColumn("shape", shape(_text(df)))
+    forms = induced(formed)
+    return formed.join(forms.select("colonne", "shape", "expression"), ["colonne", "shape"]), forms
+
+
+def induced(formed: DataFrame) -> DataFrame:
+    """(colonne, shape, expression, values): for every shape of the columns' distinct values the expression selected for
+    it, null where its values are written out; values: distinct values of the expression. formed: colonne, v, shape."""
+    classes = {c: F.length(F.regexp_replace("shape", f"[^{c}]", "")) for c in "Aa9L"}
+    bits = sum((n * math.log2(_CLASS[c][1]) for c, n in classes.items()), F.lit(0.0))
+    shapes = formed.groupBy("colonne", "shape").agg(F.count_distinct("v").alias("n"))
+    shapes = shapes.withColumn("word", F.regexp_replace("shape", "[Aa9L]+", "w")).withColumn("loose", F.regexp_replace("shape", "([Aa9L])\\1+", "$1"))
+    shapes = shapes.withColumn("rx", _regex(F.col("shape"), 0)).withColumn("bits", F.col("n") * bits)
+    shapes = materialise(shapes.withColumn("chars", F.col("n") * sum(classes.values(), F.lit(0))), "load-shapes")
+    total = F.broadcast(shapes.groupBy("colonne").agg((F.sum("n") + 1).alias("all")))  # one row per column
+    name = lambda n: F.col(n) * F.log2(F.col("all") / F.col(n))
+    written, own = (8 * F.length("shape") + 2) * F.col("n"), 8 * F.length("rx") + F.col("bits") + name("n")
+    leaf = shapes.join(total, "colonne").withColumn("best", F.least(written, own)).withColumn("tight", own < written)
+    sums = lambda d, *keys: d.groupBy("colonne", "all", *keys)
+    loose = sums(leaf, "word", "loose").agg(F.count("*").alias("k"), F.sum("n").alias("m"), F.sum("bits").alias("bits"), F.sum("best").alias("best"), F.sum("chars").alias("chars"))
+    loose = loose.withColumn("rx1", _regex(F.col("loose"), 1))
+    own1 = 8 * F.length("rx1") + F.col("bits") + F.col("m") * F.log2("k") + name("m") + F.log2("all") * F.col("k")
+    loose = loose.withColumn("take1", (F.col("k") > 1) & (own1 < F.col("best"))).withColumn("best1", F.when(F.col("k") > 1, F.least(own1, "best")).otherwise(F.col("best")))
+    loose = materialise(loose.withColumnRenamed("m", "m1"), "load-forms")
+    word = sums(loose, "word").agg(F.sum("k").alias("k"), F.sum("m1").alias("m"), F.sum("chars").alias("chars"), F.sum("best1").alias("best")).withColumn("rx2", _regex(F.col("word"), 2))
+    own2 = 8 * F.length("rx2") + F.col("chars") * math.log2(62) + F.col("m") * F.log2("k") + name("m") + 2 * F.log2("all") * F.col("k")
+    word = word.withColumn("take2", (F.col("k") > 1) & (own2 < F.col("best"))).select("colonne", "word", "take2", "rx2", F.col("m").alias("m2"))
+    tree = leaf.select("colonne", "shape", "word", "loose", "n", "rx", "tight").join(loose.select("colonne", "word", "loose", "take1", "rx1", "m1"), ["colonne", "word", "loose"]).join(word, ["colonne", "word"])
+    level = lambda a, b, c: F.when(F.col("take2"), F.col(a)).when(F.col("take1"), F.col(b)).when(F.col("tight"), F.col(c))
+    return materialise(tree.select("colonne", "shape", level("rx2", "rx1", "rx").alias("expression"), level("m2", "m1", "n").alias("values")), "load-expressions")
+
+
+def _regex(form: Column, level: int) -> Column:
+    """As regex(), in the JVM."""
+    letters = "w" if level == 2 else "Aa9L"
+    pieces = F.regexp_extract_all(form, F.lit("(" + "|".join(f"{c}+" for c in letters) + f"|(?s:[^{letters}]))"), F.lit(1))
+
+    def one(r: Column) -> Column:
+        out = F.concat(F.lit("\\"), r)
+        for c in letters:
+            size = F.lit("+") if level else F.when(F.length(r) > 1, F.concat(F.lit("{"), F.length(r).cast("string"), F.lit("}"))).otherwise("")
+            out = F.when(F.substring(r, 1, 1) == c, F.concat(F.lit(_CLASS[c][0]), size)).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(pieces, one), "")
 
 
 def _order(loads: DataFrame, spec: LoadSpec) -> DataFrame:
@@ -260,17 +265,11 @@ def coverage(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | Non
     those that none takes, with its share of the rows with a value here and in the agency's preceding load; drifts where
     the two differ by spec.expression_gap or more, null without values on either side.
 
-    A value belongs to the first selected expression that takes it. An expression that only the preceding load has stands
+    A value belongs to the expression selected for its shape. An expression that only the preceding load has stands
     with 0 rows."""
     values = materialise(long_values(df, spec), "load-values") if values is None else values
-    t = _text(df)
-    taken = F.lit(None).cast("string")
-    for c, rxs in induced(values.withColumn("v", t), _columns(df, spec), spec).items():
-        own = F.lit(None).cast("string")
-        for e in reversed(rxs):
-            own = F.when(t.rlike(f"^(?:{e.regex})$"), F.lit(e.regex)).otherwise(own)
-        taken = F.when(F.col("colonne") == c, own).otherwise(taken)
-    counted = values.where("v IS NOT NULL").groupBy(spec.load, "colonne", taken.alias("expression")).agg(F.sum("rows").alias("rows"))
+    took, _ = _expressed(df, values, _columns(df, spec), spec)
+    counted = took.groupBy(spec.load, "colonne", "expression").agg(F.sum("rows").alias("rows"))
     counted = materialise(counted, "load-coverage")
     order = _order(values, spec)
     sides = F.array(F.struct(F.col(spec.load).alias("of"), F.lit(1).alias("side")), F.struct(F.col("after").alias("of"), F.lit(-1).alias("side")))

@@ -371,17 +371,17 @@ def unify(raw: DataFrame, project: Sequence[Field] = PROJECT) -> DataFrame:
 
     A row keeps its keys together: it meets its file's correspondences, one map a file, and is cast where it stands."""
     match = materialise(match_files(file_fields(parse(raw)), project), "schema-table-matches")
+    mine = match.where(F.col("champ").isin(*[f.name for f in project]))
     pairs = F.map_from_entries(F.collect_list(F.struct("champ", "header")))
-    files = match.groupBy("fichier").agg(pairs.alias("_headers"))
+    files = mine.groupBy("fichier").agg(pairs.alias("_headers"), F.collect_list("header").alias("_own"))
     v = F.try_parse_json("contenu")
     cells = F.expr("try_variant_get(_v, '$', 'map<string,variant>')")
     # keys of a map of files without a month in their name are looked up like any other
     d = raw.select("fichier", "ligne_id", v.alias("_v")).withColumn("_m", F.when(F.expr("schema_of_variant(_v)").startswith("OBJECT"), cells)).drop("_v").join(files, "fichier", "left")
-    cast = [_cast(_text(f), f.type).alias(f.name) for f in project]
-    names = F.array(*[F.lit(f.name) for f in project])
-    own = F.transform(F.filter(F.map_entries("_headers"), lambda e: F.array_contains(names, e["key"])), lambda e: e["value"])
-    rest = F.filter(F.map_keys("_m"), lambda k: ~F.array_contains(own, k))
-    others = F.map_from_arrays(rest, F.transform(rest, lambda k: F.try_variant_get(F.col("_m")[k], "$", "string")))
+    # each text once, in a step of its own: the casts look at it several times
+    d = d.select("fichier", "ligne_id", "_m", F.array_except(F.map_keys("_m"), F.coalesce("_own", F.array().cast("array<string>"))).alias("_rest"), *[F.nullif(F.trim(_text(f)), F.lit("")).alias(f"_{f.name}") for f in project])
+    others = F.map_from_arrays("_rest", F.transform("_rest", lambda k: F.try_variant_get(F.col("_m")[k], "$", "string")))
+    cast = [_cast(F.col(f"_{f.name}"), f.type).alias(f.name) for f in project]
     return d.select("fichier", "ligne_id", *cast, F.when(F.col("_m").isNotNull(), others).alias("autres"))
 
 
@@ -394,12 +394,13 @@ def _text(f: Field) -> Column:
     return F.when(F.schema_of_variant(x).startswith("OBJECT"), F.try_variant_get(x, f"$.{f.nested[0]}", "string")).otherwise(text)
 
 
-def _cast(c: Column, to: str) -> Column:
-    t = F.nullif(F.trim(c), F.lit(""))
+def _cast(t: Column, to: str) -> Column:
+    """A trimmed text as the type. What isn't written as a number is never cast: a failed cast costs an exception."""
+    number = lambda c: F.when(c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), c.try_cast("double"))
     if to == "double":
-        return F.regexp_replace(F.regexp_replace(t, r"[\s  ]", ""), ",", ".").try_cast("double")
+        return number(F.translate(t, ", \u00a0\u202f\t", "."))
     if to == "date":
-        serial = t.try_cast("double")
+        serial = number(t)
         return F.coalesce(
             F.when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}"), F.try_to_timestamp(F.substring(t, 1, 10), F.lit("d/M/yyyy")).cast("date")),
             F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(t, 1, 10).try_cast("date")),

@@ -61,6 +61,11 @@ def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.profile_loads(table(spark, d, "chargements"))
 
 
+def p4_figures(spark: SparkSession, d: str) -> DataFrame:
+    """The profile's figures without those of induced expressions."""
+    return p4_profile(spark, d).drop("foreign", "main", "main_coverage")
+
+
 def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Coverage of every induced expression per load, against the agency's preceding load."""
     return profile.coverage(table(spark, d, "chargements"))
@@ -78,5 +83,5 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_coverage, p6_found, p6_values)
+    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_figures, p4_coverage, p6_found, p6_values)
 }

@@ -132,6 +132,19 @@ SELECT * FROM r
 """
 
 
+def _p4_figures() -> str:
+    bounds = {"mois": (1, 12), "salaire_brut": (0, 50_000_000), "duree_travaillee": (0, 744)}
+    forms = {"id_indiv": "[A-Z]{2}[0-9]{9}", "numero_employeur": "[0-9]{7}"}
+    numbers = ("ligne_id", "mois", "annee", "salaire_brut", "duree_travaillee")
+    rows = []
+    for c in ("ligne_id", "libelle_agence", "charge_le", "id_indiv", "numero_employeur", "mois", "annee", "sexe", "type_salarie", "commune", "salaire_brut", "duree_travaillee"):
+        least = f"min({c})::DOUBLE least, max({c})::DOUBLE most" if c in numbers else "NULL::DOUBLE least, NULL::DOUBLE most"
+        out = f"count(*) FILTER ({c} NOT BETWEEN {bounds[c][0]} AND {bounds[c][1]})" if c in bounds else "0"
+        bad = f"count(*) FILTER (NOT regexp_full_match({c}, '{forms[c]}'))" if c in forms else "0"
+        rows.append(f"SELECT chargement, '{c}' colonne, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS \"distinct\", {least}, {out} out_of_range, {bad} violations FROM chargements WHERE chargement IS NOT NULL GROUP BY chargement")
+    return "\nUNION ALL ".join(rows)
+
+
 _P6 = """
 WITH k AS (SELECT DISTINCT numero_employeur e FROM panel_employeur),
 b AS (SELECT ligne_id, id_indiv, CASE WHEN salaire_brut_mens BETWEEN 0 AND 90000000 THEN 1 END s, k.e FROM base_analytique LEFT JOIN k ON numero_employeur = k.e),
@@ -142,4 +155,4 @@ UNION ALL SELECT 'base_analytique', ligne_id, 'numero_employeur' FROM x WHERE e
 UNION ALL SELECT 'panel_employeur', ligne_id, 'd_jt' FROM p WHERE ok IS NOT TRUE AND n > 0
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p4_found": _p4(), "p6_found": _P6}
+ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p4_found": _p4(), "p4_figures": _p4_figures(), "p6_found": _P6}

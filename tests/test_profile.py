@@ -1,5 +1,10 @@
 """Profiles of loads: shapes, induced expressions, drift."""
 
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from paygrain.operators import profile as P
 
 SCHEMA = "chargement string, charge_le timestamp, id_indiv string, numero_employeur string, mois int, annee int, sexe string, commune string, salaire_brut double, duree_travaillee double"
@@ -87,3 +92,32 @@ def test_every_column_is_profiled(spark):
     d = spark.createDataFrame([("A_2024_01", None, 5, "Agence A"), ("A_2024_01", None, 5, None)], "chargement string, charge_le timestamp, ligne_id bigint, libelle_agence string")
     p = {r.colonne: (r["rows"], r.nulls, r.distinct) for r in P.profile_loads(d).collect()}
     assert p == {"charge_le": (2, 2, 0), "ligne_id": (2, 0, 1), "libelle_agence": (2, 1, 1)}
+
+
+def test_distributed_selection_is_that_of_the_counts_at_hand(spark):
+    """Many rare forms, odd characters, one column each."""
+    values = [("a", v) for v in [f"AB{i:09}" for i in range(300)] + ["ab1", "x-9", "É1", "", "a.b", "a.b.c", "\\{}", "日本", "x\ny"] + [f"{'k' * (i % 9 + 1)}{i}" for i in range(200)]]
+    values += [("b", f"{'abc'[i % 3] * (i % 5 + 1)} {'XY'[i % 2] * (i % 4 + 1)}{i}") for i in range(400)] + [("c", "é" * i) for i in range(1, 30)]
+    d = spark.createDataFrame(values * 2, "colonne string, v string").withColumn("shape", P.shape(F.col("v")))
+    got = {(r.colonne, r["shape"]): (r.expression, r["values"]) for r in P.induced(d).collect()}
+    for c in "abc":
+        counts = Counter(r["shape"] for r in d.where(F.col("colonne") == c).distinct().collect())
+        want = {s: (e.regex, e.values) for e in P.induce(list(counts.items())) for s in e.shapes}
+        assert {s: got[c, s] for s in counts} == {s: want.get(s, (None, None)) for s in counts}
+    assert {e for e, _ in got.values()} >= {"[A-Z]{2}[0-9]{9}", "[a-z]+[0-9]+", None}
+
+
+def test_expressions_take_their_own_values(spark):
+    values = [("a", v) for v in ["A-1", "B-2", "a_b", "x y", "1.5", "[x]", "(9)", "a+b", "Éa9", "\u00a07"] * 3 + [f"Q{i}.{'z' * (i % 6 + 1)}" for i in range(90)]]
+    d = spark.createDataFrame(values, "colonne string, v string").withColumn("shape", P.shape(F.col("v")))
+    for level, form in enumerate((F.col("shape"), F.regexp_replace("shape", "([Aa9L])\\1+", "$1"), F.regexp_replace("shape", "[Aa9L]+", "w"))):
+        r = d.select("v", F.concat(F.lit("^(?:"), P._regex(form, level), F.lit(")$")).alias("rx"))
+        assert r.where("NOT v RLIKE rx").collect() == []
+
+
+def test_rare_forms_are_kept_and_violations_are_exact(spark):
+    """Every form but one is rarer than one value in two hundred; a value of a merged form may still violate."""
+    ids = [f"AB{100000000 + i}" for i in range(20)] + [f"A{'B' * (i % 30)}{10**(i % 12)}{i}" for i in range(600)] + ["AB12"]
+    d = spark.createDataFrame([("A_2024_01", None, v, "1234567", 1, 2024, "F", "X", 1.0, 1.0) for v in ids], SCHEMA)
+    p = {r.colonne: r for r in P.profile_loads(d).collect()}["id_indiv"]
+    assert p.violations == sum(not re.fullmatch("[A-Z]{2}[0-9]{9}", v) for v in ids) and p.foreign < len(ids) / 10
