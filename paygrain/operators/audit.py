@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.catalog import Rule, missing_columns
+from .ranks import percentiles
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -45,11 +46,12 @@ def outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), fact
     long = d.select(*by, names).select(*by, "_x.column", "_x.v")
     # equal values are combined first: the quartiles come from counts
     c = long.groupBy(*by, "column", "v").agg(F.count("*").alias("n"))
-    q = c.groupBy(*by, "column").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.75)), F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("q"), F.sum("n").alias("n"))
-    q = q.select(*by, "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"), "n")
+    keys = [*by, "column"]
+    cut = percentiles(c, "v", (0.25, 0.75), keys, count="n").withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    q = c.groupBy(*keys).agg(F.sum("n").alias("n")).join(cut, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left")
+    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"), "n")
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("lower", F.col("q1") - factor * iqr).withColumn("upper", F.col("q3") + factor * iqr)
-    keys = [*by, "column"]
     right = c.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "v", F.col("n").alias("_c"))
     j = q.join(right, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     out = F.sum(F.when((F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper")), F.col("_c")).otherwise(0))
@@ -59,7 +61,7 @@ def outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), fact
 
 def summary(df: DataFrame, column: str, distinct: Sequence[str] = ()) -> DataFrame:
     """min, q1, median, mean, q3, max, and distinct counts without null."""
-    q = F.percentile(column, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]))
+    q = percentiles(df, column, (0.25, 0.5, 0.75)).scalar()
     return df.agg(
         F.min(column).alias("min"), q[0].alias("q1"), q[1].alias("median"), F.avg(column).alias("mean"), q[2].alias("q3"), F.max(column).alias("max"), *[F.count_distinct(c).alias(f"n_{c}") for c in distinct]
     )

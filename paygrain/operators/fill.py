@@ -137,7 +137,7 @@ def _with_groups(base: DataFrame, panel: DataFrame, rules: FillRules) -> DataFra
 def _fit_wages(d: DataFrame, rules: FillRules) -> mixture.Mixture | None:
     numeric = ["_x", "_wx", "_ex"]
     levels = {"_sec": SECTIONS, "_sex": 3}
-    c = materialise(mixture.cells(d, numeric, levels, {"_x": 0.25, "_wx": 0.25, "_ex": 0.25}).coalesce(8), "fill-cells")
+    c = materialise(mixture.cells(d, numeric, levels, {"_x": 0.25, "_wx": 0.25, "_ex": 0.25}), "fill-cells")
     return mixture.fit(c, numeric, levels, rules.components, rules.steps)
 
 
@@ -203,7 +203,7 @@ def _filled_flags(panel: DataFrame, rules: FillRules) -> DataFrame:
     ).withColumn("_rate", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))
     p = materialise(p, "fill-panel")
     levels = {"_d": 2, "_before": 2, "_after": 2, "_some": 2, "_sec": SECTIONS}
-    c = materialise(mixture.cells(p, ["_rate"], levels, {"_rate": 0.05}).coalesce(8), "fill-panel-cells")
+    c = materialise(mixture.cells(p, ["_rate"], levels, {"_rate": 0.05}), "fill-panel-cells")
     m = mixture.fit(c, ["_rate"], levels, rules.components, rules.steps)
     need = p.where("_d IS NULL AND _n > 0").select("ligne_id", "_rate", *levels)
 

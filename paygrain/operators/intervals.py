@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.mathx import normal_quantile, student_quantile
+from ..session import materialise
+from .ranks import running
 from .stats import blocks
 
 
@@ -36,41 +38,77 @@ def extremes(df: DataFrame, keys: Sequence[str], y: str, k: int = 5) -> DataFram
     return a.join(b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]).select(*keys, "min", "min_range", "max", "max_range")
 
 
-def bootstrap_quantiles(df: DataFrame, keys: Sequence[str], y: str, w: str, ps: dict[str, float], replicates: int = 200, seed: int = 1, least: int = 10) -> DataFrame:
+#: Value blocks of a group that one Python call takes.
+CHUNK = 20_000
+
+
+def _draws(seed: int, key: tuple, chunk: int, c, w, replicates: int):
+    """Drawn weights of a chunk's blocks, blocks by replicates: Poisson multiplicities of its rows times their mean weight.
+    The same arguments draw the same numbers."""
+    import zlib
+
+    import numpy as np
+
+    rng = np.random.default_rng([seed, zlib.crc32(repr(key).encode()), chunk])
+    return rng.poisson(c[:, None], (len(c), replicates)) * (w / c)[:, None]
+
+
+def bootstrap_quantiles(df: DataFrame, keys: Sequence[str], y: str, w: str, ps: dict[str, float], replicates: int = 200, seed: int = 1, least: int = 10, chunk: int = CHUNK) -> DataFrame:
     """keys, statistique, estimate, se: standard errors from Poisson replicates of a group's value blocks.
 
     A replicate draws each block's multiplicity from a Poisson law with mean c, as resampling rows does for large groups;
     so the work is the number of distinct values of a group, in vectors of `replicates`. Fewer than `least` rows: se null.
-    The seed and the key give each group its own, repeatable stream."""
-    names = list(ps)
-
-    def one(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        import zlib
+    The seed and the key give each group its own, repeatable stream.
 
-        import numpy as np
+    A group is worked in chunks of `chunk` values in order. Each chunk's drawn sums come first; added up along the group
+    they tell in which chunk a replicate's quantile lies, and that chunk, drawn again alike, gives its value."""
+    import numpy as np
 
+    names = list(ps)
+    b = blocks(df.dropna(subset=[y, w]), keys, y, w).withColumn("y", F.col("y").cast("double"))
+    d = running(b, keys, "y", {"W": F.col("W"), "c": F.col("c"), "k": F.lit(1)})
+    d = d.select(*keys, "y", "c", "W", "CW", "TW", "Tc", F.floor((F.col("Ck") - 1) / chunk).cast("int").alias("_chunk"), "_end")
+    point = d.groupBy(*keys).agg(F.max("Tc").alias("n"), *[F.min(F.when((F.try_divide("CW", "TW") >= p) | F.col("_end"), F.col("y"))).alias(n) for n, p in ps.items()])
+    kinds = ", ".join(f"`{k}` {t}" for k, t in b.dtypes if k in keys)
+    enough = materialise(d.where(F.col("Tc") >= least).select(*keys, "y", "c", "W", "_chunk"), "bootstrap-blocks")
+
+    def summed(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("y")
-        v, c, wt = g["y"].to_numpy(float), g["c"].to_numpy(float), g["W"].to_numpy(float)
-        pick = lambda cum, p: v[np.minimum((cum / cum[..., -1:] < p).sum(-1), len(v) - 1)]
-        point = {n: float(pick(np.cumsum(wt)[None, :], ps[n])[0]) for n in names}
-        se = dict.fromkeys(names, float("nan"))
-        if c.sum() >= least:
-            rng = np.random.default_rng([seed, zlib.crc32(repr(key).encode())])
-            draws = {n: [] for n in names}
-            for lo in range(0, replicates, 25):
-                m = rng.poisson(c, size=(min(25, replicates - lo), len(c))) * (wt / c)
-                cum = np.cumsum(m, 1)
-                cum = cum[cum[:, -1] > 0]
-                for n in names:
-                    draws[n] += pick(cum, ps[n]).tolist()
-            se = {n: float(np.std(d, ddof=1)) if len(d) > 1 else float("nan") for n, d in draws.items()}
-        return pd.DataFrame([(*key, n, point[n], se[n]) for n in names], columns=[*keys, "statistique", "estimate", "se"])
-
-    b = blocks(df.dropna(subset=[y, w]), keys, y, w)
-    kinds = dict(b.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", statistique string, estimate double, se double"
-    out = b.select(*keys, F.col("y").cast("double").alias("y"), "c", "W").groupBy(*keys).applyInPandas(one, schema)
-    return out.withColumn("se", F.nanvl("se", F.lit(None).cast("double")))
+        m = _draws(seed, key[:-1], int(key[-1]), g["c"].to_numpy(float), g["W"].to_numpy(float), replicates)
+        return pd.DataFrame([[*key, np.cumsum(m, 0)[-1]]], columns=[*keys, "_chunk", "_sum"])
+
+    def located(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("_chunk")
+        after = np.cumsum(np.stack(g["_sum"].to_numpy()), 0)
+        before = np.vstack([np.zeros(replicates), after[:-1]])
+        total = after[-1]
+        rows = []
+        for i, at in enumerate(g["_chunk"]):
+            here = [(total > 0) & (before[i] < p * total) & (after[i] >= p * total) for p in ps.values()]
+            if np.any(here):
+                rows.append([*key, int(at), before[i], total])
+        return pd.DataFrame(rows, columns=[*keys, "_chunk", "_before", "_total"])
+
+    def picked(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("y")
+        v = g["y"].to_numpy(float)
+        before, total = np.asarray(g["_before"].iloc[0], float), np.asarray(g["_total"].iloc[0], float)
+        m = _draws(seed, key[:-1], int(key[-1]), g["c"].to_numpy(float), g["W"].to_numpy(float), replicates)
+        cum = before + np.cumsum(m, 0)
+        rows = []
+        for n, p in ps.items():
+            here = (total > 0) & (before < p * total) & (cum[-1] >= p * total)
+            rows += [[*key[:-1], n, x] for x in v[(cum[:, here] < p * total[here]).sum(0)]]
+        return pd.DataFrame(rows, columns=[*keys, "statistique", "_v"])
+
+    sums = enough.groupBy(*keys, "_chunk").applyInPandas(summed, f"{kinds}, _chunk int, _sum array<double>")
+    spots = sums.groupBy(*keys).applyInPandas(located, f"{kinds}, _chunk int, _before array<double>, _total array<double>")
+    spots = spots.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "_chunk"]})
+    here = enough.join(spots, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*keys, "_chunk"]]).drop(*[f"_k_{k}" for k in [*keys, "_chunk"]])
+    values = here.groupBy(*keys, "_chunk").applyInPandas(picked, f"{kinds}, statistique string, _v double")
+    se = values.groupBy(*keys, "statistique").agg(F.stddev_samp("_v").alias("se")).withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "statistique"]})
+    long = point.unpivot([*keys], names, "statistique", "estimate")
+    return long.join(se, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*keys, "statistique"]], "left").select(*keys, "statistique", "estimate", "se")
 
 
 def with_intervals(df: DataFrame, keys: Sequence[str], y: str, w: str, alpha: float = 0.05, replicates: int = 200, seed: int = 1) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import ModelSpec
+from .ranks import percentiles
 
 
 @dataclass
@@ -67,7 +68,7 @@ def inverse_weights(df: DataFrame, p: str, weight: str = "w_jt", floor: float =
     d = df.withColumn("_q", q).withColumn("_m", F.coalesce(F.col(p), mean))
     top = d.agg(F.avg("_m" if marginal == "before" else "_q")).scalar() if stabilise else F.lit(1.0)
     d = d.withColumn("_raw", top / F.col("_q"))
-    cut = d.agg(F.percentile("_raw", F.array(F.lit(trim[0]), F.lit(trim[1])))).scalar()
+    cut = percentiles(d, "_raw", trim).scalar()
     d = d.withColumn("_cut", cut)
     return d.withColumn(weight, F.greatest(F.col("_cut")[0], F.least(F.col("_cut")[1], F.col("_raw")))).drop("_q", "_m", "_raw", "_cut")
 
@@ -88,7 +89,7 @@ def auc(df: DataFrame, score: str, outcome: str) -> DataFrame:
 def calibration(df: DataFrame, score: str, outcome: str, bins: int = 10) -> DataFrame:
     """Quantile bins, right-closed, repeated breaks merged: bin, n, mean_score, mean_outcome."""
     d = df.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select(F.col(score).cast("double").alias("s"), F.col(outcome).cast("double").alias("y"))
-    cut = d.agg(F.array_distinct(F.percentile("s", F.array(*[F.lit(i / bins) for i in range(1, bins)])))).scalar()
+    cut = percentiles(d, "s", [i / bins for i in range(1, bins)]).select(F.array_distinct("q")).scalar()
     b = d.withColumn("_b", cut)
     return b.groupBy((F.size(F.filter("_b", lambda x: x < F.col("s"))) + 1).alias("bin")).agg(F.count("*").alias("n"), F.avg("s").alias("mean_score"), F.avg("y").alias("mean_outcome"))
 

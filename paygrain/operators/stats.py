@@ -2,7 +2,8 @@
 
 All statistics of all dimensions come from one plan: rows are unpivoted to (dimension, group), combined map-side to one
 block per (group, period, value) - count, weight, squared weight - and only the blocks are shuffled and ordered. The
-national dimension, which holds every row, is thereby as spread as the others, and a group costs its distinct values.
+national dimension, which holds every row, is thereby as spread as the others, and a group costs its distinct values,
+which are placed in ranges (ranks.py), so that no task holds a whole group.
 
 Definitions, for values y with weights w: the mean divides by all weights, also those of rows whose y is null; the
 variance is of the population form about that mean, over the same denominator; a quantile is the first y, nulls last,
@@ -15,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.catalog import STATISTICS, Dimension, Statistic
+from .ranks import percentiles, running
 
 KEYS = ["dimension", "group_value"]
 
@@ -49,13 +51,7 @@ def blocks(df: DataFrame, keys: Sequence[str], y: str, w: str) -> DataFrame:
 
 
 def _placed(b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    all_ = Window.partitionBy(*keys)
-    run = all_.orderBy(F.col("y").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    wy = F.col("W") * F.col("y")
-    # the ordered windows come first: their sort serves the others
-    d = b.select("*", F.sum("W").over(run).alias("CW"), F.sum(wy).over(run).alias("CWY"), F.row_number().over(all_.orderBy(F.col("y").asc_nulls_last())).alias("_at"))
-    d = d.select("*", F.sum("W").over(all_).alias("TW"), F.sum(wy).over(all_).alias("TWY"), F.count("*").over(all_).alias("_of"))
-    return d.withColumn("mu", F.try_divide("TWY", "TW"))
+    return running(b, keys, "y", {"W": F.col("W"), "WY": F.col("W") * F.col("y")}).withColumn("mu", F.try_divide("TWY", "TW"))
 
 
 def _lorenz() -> Column:
@@ -79,7 +75,7 @@ BUILDERS: dict[str, Callable[[Statistic], Column]] = {
     "min": lambda s: F.min("y"),
     "max": lambda s: F.max("y"),
     # blocks come in the order of y: the first that reaches p has the least place; the last block always does
-    "quantile": lambda s: F.min_by("y", F.when((F.try_divide("CW", "TW") >= s.p) | (F.col("_at") == F.col("_of")), F.col("_at"))),
+    "quantile": lambda s: F.min_by("y", F.when((F.try_divide("CW", "TW") >= s.p) | F.col("_end"), F.col("_place"))),
     "gini": lambda s: _gini(),
     "gini_standard": lambda s: _gini(F.try_divide(F.sum(F.col("S2") * F.col("y")), F.max("TW") * F.max("TWY"))),
 }
@@ -112,9 +108,7 @@ def suppress(stats: DataFrame, least: float = 30, weight: str = "n_weighted") ->
 
 def winsorise(df: DataFrame, keys: Sequence[str], y: str, p: float = 0.01) -> DataFrame:
     """y clamped in its group to the quantiles p and 1 - p (linear between values); null stays null."""
-    # equal values are combined map-side before the percentiles see them
-    c = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(y).alias("_y")).agg(F.count("*").alias("_c")).where("_y IS NOT NULL")
-    q = c.groupBy(*[f"_k_{k}" for k in keys]).agg(F.percentile("_y", F.array(F.lit(p), F.lit(1 - p)), F.col("_c")).alias("_q"))
+    q = percentiles(df, y, (p, 1 - p), keys, "_q").withColumnsRenamed({k: f"_k_{k}" for k in keys})
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     clamped = F.when(F.col(y).isNotNull(), F.greatest(F.col("_q")[0], F.least(F.col("_q")[1], F.col(y))))
     return df.join(q, on, "left").select(*[clamped.alias(y) if c == y else F.col(c) for c in df.columns])
