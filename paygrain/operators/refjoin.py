@@ -1,9 +1,10 @@
 """Joins to lookups, exact and by similarity (JOI-01 to JOI-06, JOI-12, JOI-14, WIN-11, AGG-25, SRC-20).
 
 Lookups are joined by key; whether one is broadcast is left to the session's size threshold, which Spark checks. The
-similarity join compares distinct texts only. blocking='shared' compares those that share a word, their first two or
-their last two letters; blocking='none' compares every distinct text with every lookup text and finds also pairs that
-share none of these, for lookups under a checked bound.
+similarity join compares distinct prepared texts only, each with every lookup text, so that the best match and its score
+are exact at any size: the lookup is dealt into blocks of bounded size, the texts into slices, and every block meets every
+slice as one even cell of an equi-join. blocking='shared' is the cheaper, lossy way: it compares only texts that share a
+word, their first two or their last two letters.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from pyspark.sql import functions as F
 from ..functions.similarity import similarity
 from ..functions.text import prepare, trimmed
 from ..plans.catalog import BANDS, MergeSpec
+from ..session import materialise
 from .clean import keep_first
 
-#: Lookup texts up to which blocking='none' is allowed.
-SMALL = 5_000
+#: Lookup texts of a block, and texts of a slice, of the similarity join.
+BLOCK, SLICE = 2_000, 2_000
 
 
 def lookup(ref: DataFrame, key: str, keep: Sequence[str] = (), drop: Sequence[str] = (), rename: Mapping[str, str] | None = None, order: Sequence[str] | None = None) -> DataFrame:
@@ -57,19 +59,29 @@ def _block_keys(c: Column) -> Column:
     return F.array_distinct(F.concat(words, ends))
 
 
-def best_matches(left: DataFrame, text: str, ref: DataFrame, ref_text: str, method: str = "jw", threshold: float = 0.8, blocking: str = "shared", stopwords: Sequence[str] = ()) -> DataFrame:
+def _cells(xs: DataFrame, ys: DataFrame, block: int) -> DataFrame:
+    """Every text with every lookup text, as cells (block of the lookup, slice of the texts) of even, bounded size. Both
+    sides are written first, so that their sizes are known and equal texts stay in their cell when a task is repeated."""
+    xs, ys = materialise(xs, "fuzzy-texts"), materialise(ys, "fuzzy-lookup")
+    n, cores = xs.count(), xs.sparkSession.sparkContext.defaultParallelism
+    blocks, slices = max(1, -(-ys.count() // block)), max(1, -(-n // SLICE), min(n, cores))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    a = xs.withColumn("_s", part("_x", slices)).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    b = ys.withColumn("_b", part("_y", blocks)).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return a.join(b, ["_b", "_s"]).select("_x", "_y", "match")
+
+
+def best_matches(left: DataFrame, text: str, ref: DataFrame, ref_text: str, method: str = "jw", threshold: float = 0.8, blocking: str = "none", stopwords: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """(value, match, score): for every distinct text the most similar lookup text, the first in the alphabet among equals;
-    below the threshold match is null and the score kept. Texts without a candidate have neither."""
+    below the threshold match is null and the score kept. Without a lookup text there is neither. blocking='shared' loses
+    matches that share no word and no two letters at either end; its texts without a candidate have neither."""
     x = left.select(F.col(text).alias("value")).where("value IS NOT NULL").distinct().withColumn("_x", prepare(F.col("value"), stopwords=stopwords))
     y = ref.select(F.col(ref_text).alias("match")).where("match IS NOT NULL").distinct().withColumn("_y", prepare(F.col("match"), stopwords=stopwords))
     # equal prepared texts are scored once; the first original stands for them
     xs = x.select("_x").distinct()
     ys = y.groupBy("_y").agg(F.min("match").alias("match"))
     if blocking == "none":
-        n = ys.count()
-        if n > SMALL:
-            raise ValueError(f"{n} lookup texts are more than {SMALL}; use blocking='shared'")
-        pairs = xs.withColumn("_one", F.lit(1)).join(F.broadcast(ys.withColumn("_one", F.lit(1))), "_one").drop("_one")  # at most SMALL rows
+        pairs = _cells(xs, ys, block)
     else:
         a = xs.select("_x", F.explode(_block_keys(F.col("_x"))).alias("_b"))
         b = ys.select("_y", "match", F.explode(_block_keys(F.col("_y"))).alias("_b"))
@@ -81,9 +93,9 @@ def best_matches(left: DataFrame, text: str, ref: DataFrame, ref_text: str, meth
     return x.join(best, "_x", "left").select("value", F.when(F.col("score") >= threshold, F.col("match")).alias("match"), "score")
 
 
-def join_fuzzy(df: DataFrame, ref: DataFrame, text: str, ref_text: str, method: str = "jw", threshold: float = 0.8, keep: Sequence[str] = (), score: str | None = None, blocking: str = "shared", suffix: str = "_ref", stopwords: Sequence[str] = ()) -> DataFrame:
+def join_fuzzy(df: DataFrame, ref: DataFrame, text: str, ref_text: str, method: str = "jw", threshold: float = 0.8, keep: Sequence[str] = (), score: str | None = None, blocking: str = "none", suffix: str = "_ref", stopwords: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """df with the columns of its best lookup row; every row of df exactly once."""
-    best = best_matches(df, text, ref, ref_text, method, threshold, blocking, stopwords)
+    best = best_matches(df, text, ref, ref_text, method, threshold, blocking, stopwords, block)
     r = lookup(ref, ref_text, keep)
     own = set(df.columns)
     r = r.select(F.col(ref_text).alias("_m"), F.col(ref_text).alias(ref_text + suffix if ref_text in own else ref_text), *[F.col(c).alias(c + suffix if c in own else c) for c in r.columns if c != ref_text])
@@ -112,7 +124,7 @@ def unmatched(df: DataFrame, key: str, check: str) -> DataFrame:
     return df.where(F.col(check).isNull()).groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key)
 
 
-def merge_all(df: DataFrame, specs: Sequence[MergeSpec], load: Callable[[str], DataFrame]) -> tuple[DataFrame, list[dict]]:
+def merge_all(df: DataFrame, specs: Sequence[MergeSpec], load: Callable[[str], DataFrame], block: int = BLOCK) -> tuple[DataFrame, list[dict]]:
     """Fold of the enabled lookups in their order. A lookup that can't be read is skipped and said so in the log."""
     log = []
     for s in sorted((s for s in specs if s.enabled), key=lambda s: s.order):
@@ -125,7 +137,7 @@ def merge_all(df: DataFrame, specs: Sequence[MergeSpec], load: Callable[[str], D
         if s.kind == "exact":
             df = join_exact(df, ref, s.key, s.ref_key, s.how, keep=s.keep, drop=s.drop, rename=dict(s.rename))
         else:
-            df = join_fuzzy(df, ref, s.key, s.ref_key, s.method, s.threshold, s.keep, s.score)
+            df = join_fuzzy(df, ref, s.key, s.ref_key, s.method, s.threshold, s.keep, s.score, block=block)
         log.append({"name": s.name, "status": "merged", "columns": [c for c in df.columns if c not in before]})
     return df, log
 

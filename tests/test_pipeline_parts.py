@@ -177,3 +177,27 @@ def test_gate_roles_and_toggle():
     assert catalog.merges(catalog.toggle(catalog.MERGES, "secteurs", False)) == []
     with pytest.raises(KeyError):
         catalog.toggle(catalog.MERGES, "x", True)
+
+
+def test_similarity_join_is_exact_for_any_blocks(spark):
+    """Best match and score over the whole lookup, below the threshold too; the lossy way keeps what it finds right."""
+    from paygrain.functions.similarity import jaro
+
+    left = ["abidjan nord", "bouake", "zzz qqq", "korhogo sud", "", None, "man"] + [f"site {i} {'xyz'[i % 3] * (i % 4)}" for i in range(40)]
+    look = ["abidjan", "bouaké centre", "korhogo", "sud man", "qqzz"] + [f"{'zyx'[i % 3] * (i % 5)} sito {i}" for i in range(60)]
+    x = spark.createDataFrame([(v,) for v in left], "t string")
+    y = spark.createDataFrame([(v,) for v in look * 2], "m string")
+    plain = {v: v.replace("é", "e") for v in look}
+    want = {}
+    for v in left:
+        if v is not None:
+            scores = [(jaro(v.strip(), " ".join(plain[m].split())), m) for m in look]
+            top = max(s for s, _ in scores)
+            want[v] = (min(m for s, m in scores if s == top) if top >= 0.8 else None, round(top, 9))
+    for block in (7, 1000):
+        got = {r.value: (r.match, round(r.score, 9)) for r in refjoin.best_matches(x, "t", y, "m", block=block).collect()}
+        assert got == want
+    shared = {r.value: r.match for r in refjoin.best_matches(x, "t", y, "m", blocking="shared").collect() if r.match}
+    kept = sum(shared.get(v) == m for v, (m, _) in want.items() if m)
+    assert set(shared) <= {v for v, (m, _) in want.items() if m} and kept >= 0.7 * sum(m is not None for m, _ in want.values())
+    assert {(r.value, r.match, r.score) for r in refjoin.best_matches(x.where("t = 'man'"), "t", y.where("false"), "m").collect()} == {("man", None, None)}
