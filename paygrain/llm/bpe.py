@@ -138,14 +138,9 @@ class Bpe:
         if self.settled.fullmatch(text):
             return self.pieces.findall(text)
         if self._library is None:
-            try:
-                from tokenizers import Tokenizer
+            from tokenizers import Tokenizer  # without it the ids of such texts would be a guess: its absence is an error
 
-                self._library = Tokenizer.from_file(self._path).pre_tokenizer
-            except ImportError:
-                self._library = False
-        if not self._library:
-            return self.pieces.findall(text)
+            self._library = Tokenizer.from_file(self._path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
 
     def encode(self, text: str | None) -> list[int]:

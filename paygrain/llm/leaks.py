@@ -86,13 +86,23 @@ class Automaton:
             for w in ws:
                 last = self._extend(last, w)
                 self.own[last].add(i)
-        # passages of a state: its own and those of the states below it, longest first
-        self.passages: list[frozenset[int]] = [frozenset()] * len(self.next)
-        acc = self.own
-        for s in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
-            if self.link[s] > 0:
-                acc[self.link[s]] |= acc[s]
-            self.passages[s] = frozenset(acc[s]) if self.length[s] >= stretch else frozenset()
+        # passages of a state: its own and those of the states below it in the tree of links. The tree is walked once and
+        # the passages are laid out in the order of the walk, so that those below a state stand side by side
+        below: list[list[int]] = [[] for _ in self.next]
+        for s in range(1, len(self.next)):
+            below[self.link[s]].append(s)
+        self.order: list[int] = []
+        self.first, self.after = [0] * len(self.next), [0] * len(self.next)
+        stack = [0]
+        while stack:
+            s = stack.pop()
+            if s < 0:
+                self.after[~s] = len(self.order)
+                continue
+            self.first[s] = len(self.order)
+            self.order += sorted(self.own[s])
+            stack.append(~s)
+            stack += below[s]
         self.own = []
         # of a state, the widest state above it that is still long enough: it holds every passage with the last words
         self.widest = [0] * len(self.next)
@@ -134,6 +144,7 @@ class Automaton:
         s = n = 0
         nxt, link, length, least = self.next, self.link, self.length, self.stretch
         found: set[int] = set()
+        seen: set[int] = set()
         for w in ids:
             if w < 0:
                 s = n = 0
@@ -151,7 +162,10 @@ class Automaton:
                 u = s
                 while length[link[u]] >= n:  # the state whose words are as long as the match
                     u = link[u]
-                found |= self.passages[self.widest[u]]
+                u = self.widest[u]
+                if u not in seen:
+                    seen.add(u)
+                    found.update(self.order[self.first[u] : self.after[u]])
         return found
 
     def _stretches(self, item: int) -> dict[tuple[int, ...], list[int]]:
@@ -289,6 +303,44 @@ def _search(block: tuple[tuple[int, str], ...], rules: LeakRules):
     return run
 
 
+def leak_spans(docs: DataFrame, tests: DataFrame, rules: LeakRules = LeakRules(), passage: str = "passage") -> DataFrame:
+    """(doc_id, item_id, debut, fin, mots, part_item, part_texte): the stretches of passages that are over a limit (as in
+    remove), by their places in the text as written: first character, character after the last, words. part_item: share
+    of the passage's words that the text holds in its order; part_texte: share of the text's words in its stretches."""
+    kind = "doc_id bigint, item_id bigint, debut int, fin int, mots int, part_item double, part_texte double"
+    out = None
+    for block in _blocks(tests, rules, passage):
+        got = spread(docs.select("doc_id", "text").where("text IS NOT NULL")).mapInPandas(_spans(block, rules), kind)
+        out = got if out is None else out.unionByName(got)
+    return docs.sparkSession.createDataFrame([], kind) if out is None else out
+
+
+def stretches(a: Automaton, text: str, rules: LeakRules) -> list[tuple[int, int, int, int, float, float]]:
+    """(item, first character, character after the last, words, share of the item, share of the text)."""
+    ids = [a.vocab.get(w, -1) for w in words(text)]
+    rows = []
+    at: list[tuple[int, int]] = []
+    for item in sorted(a.candidates(ids)):
+        size = len(a.items[item])
+        if a.overlap(ids, item, (enough := min(rules.least, math.ceil(rules.coverage * size)))) >= enough:
+            at = at or located(text)[1]
+            found = a.spans(ids, item)
+            held, mine = a.overlap(ids, item, size + 1) / size, sum(y - x for x, y in found) / len(ids)
+            rows += [(item, at[x][0], at[y - 1][1], y - x, round(held, 6), round(mine, 6)) for x, y in found]
+    return rows
+
+
+def _spans(block: tuple[tuple[int, str], ...], rules: LeakRules):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a = _automaton(block, rules.stretch)
+        for b in batches:
+            rows = [(doc, *r) for doc, text in zip(b["doc_id"], b["text"]) for r in stretches(a, text, rules)]
+            kinds = {"doc_id": "int64", "item_id": "int64", "debut": "int32", "fin": "int32", "mots": "int32", "part_item": float, "part_texte": float}
+            yield pd.DataFrame(rows, columns=list(kinds)).astype(kinds)
+
+    return run
+
+
 def remove(docs: DataFrame, tests: DataFrame, rules: LeakRules = LeakRules(), passage: str = "passage") -> DataFrame:
     """(doc_id, text, spans, mots): every text without the stretches of passages over a limit, how many were removed, and
     their words.

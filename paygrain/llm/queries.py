@@ -52,6 +52,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "passages_test")).select("doc_id", "item_id")
 
 
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Where in each text the leaked stretches stand, and how much of passage and text they make up."""
+    return leaks.leak_spans(table(spark, d, "documents"), table(spark, d, "passages_test"))
+
+
 def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
     """Every text without the passages' stretches that are over the length or coverage limit."""
     return leaks.remove(table(spark, d, "documents"), table(spark, d, "passages_test"))
@@ -66,4 +71,4 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_percentiles, p5_quarters, p7_ids, p8_found, p8_cleaned, p9_found, p9_redacted)}
+QUERIES = {f.__name__: f for f in (p5_percentiles, p5_quarters, p7_ids, p8_found, p8_spans, p8_cleaned, p9_found, p9_redacted)}

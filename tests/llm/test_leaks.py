@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from paygrain.llm.leaks import Automaton, LeakRules, cleaned, leaks, located, remove, words
+from paygrain.llm.leaks import Automaton, LeakRules, cleaned, leak_spans, leaks, located, remove, stretches, words
 
 SENT = ["le luthier distrait doubla chaque messager rapide après notre syndic", "ce tribunal tardif redistribua chaque notaire nocturne pour deux cents écus", "notre bûcheron prudent protégea un copiste avare derrière le vieux moulin"]
 PASSAGE = ". ".join(SENT) + "."
@@ -110,3 +110,53 @@ def test_located_words_are_the_words(text):
     found, at = located(text)
     assert found == words(text)
     assert all(a < b for a, b in at) and all(x[1] <= y[1] and x[0] <= y[0] for x, y in zip(at, at[1:]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10**6))
+def test_spans_against_brute_force(seed):
+    """Every place of a stretch of the passage, and nothing else; shares of passage and text."""
+    r = random.Random(seed)
+    vocab = [f"m{i}" for i in range(r.choice([4, 30]))]
+    items = {i: [r.choice(vocab) for _ in range(r.randint(6, 14))] for i in range(3)}
+    doc = []
+    for _ in range(r.randint(1, 5)):
+        p = r.choice(list(items.values()))
+        a = r.randrange(len(p))
+        doc += p[a : a + r.randint(1, 12)] + [r.choice(vocab + ["zz"]) for _ in range(r.randint(0, 2))]
+    text = " ".join(w.upper() if r.random() < 0.5 else w for w in doc)
+    rules = LeakRules(least=6, stretch=3, coverage=0.5)
+    got = stretches(Automaton(list(items.items()), 3), text, rules)
+    starts = [sum(len(w) + 1 for w in doc[:i]) for i in range(len(doc))]
+    want = []
+    for i, p in items.items():
+        held = brute(doc, p, 3)
+        if held < min(6, -(-len(p) // 2)):
+            continue
+        inside = [any(p[x : x + 3] == doc[y : y + 3] for y in range(max(0, j - 2), j + 1) for x in range(len(p) - 2) if y + 3 <= len(doc)) for j in range(len(doc))]
+        grams = {tuple(p[x : x + 3]) for x in range(len(p) - 2)}
+        places = [j for j in range(len(doc) - 2) if tuple(doc[j : j + 3]) in grams]
+        spans = []
+        for j in places:
+            if spans and j < spans[-1][1]:
+                spans[-1] = (spans[-1][0], j + 3)
+            else:
+                spans.append((j, j + 3))
+        assert sum(y - x for x, y in spans) == sum(inside)
+        want += [(i, starts[x], starts[y - 1] + len(doc[y - 1]), y - x, round(held / len(p), 6), round(sum(inside) / len(doc), 6)) for x, y in spans]
+    assert got == want
+
+
+def test_spans_as_written(spark):
+    text = "Avant : " + PASSAGE.upper() + " Après !"
+    d = spark.createDataFrame([(1, text), (2, "rien"), (3, None), (4, "")], "doc_id bigint, text string")
+    t = spark.createDataFrame([(101, PASSAGE)], "item_id bigint, passage string")
+    (r,) = leak_spans(d, t).collect()
+    assert (r.doc_id, text[r.debut : r.fin], r.mots, r.part_item) == (1, PASSAGE.upper()[:-1], len(words(PASSAGE)), 1.0) and r.part_texte == round(r.mots / (r.mots + 2), 6)
+    assert leak_spans(d, t.where("false")).collect() == []
+
+
+def test_passages_that_share_a_stretch_take_linear_room():
+    shared = [f"s{i}" for i in range(60)]
+    a = Automaton([(i, [*shared, f"x{i}"]) for i in range(300)], 5)
+    assert len(a.order) <= 300 * 61 and a.candidates([a.vocab[w] for w in shared[:5]]) == set(range(300))
