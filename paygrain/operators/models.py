@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import ModelSpec
+from ..session import materialise
 from .ranks import percentiles
 
 
@@ -41,8 +42,12 @@ def fit_logit(df: DataFrame, spec: ModelSpec) -> Fitted:
     if not n or not used or mean in (0.0, 1.0):
         return Fitted(spec, None, used, dropped, {"n": float(n)}, float(mean if mean is not None else 0.0))
     form = RFormula(formula=f"{spec.outcome} ~ {' + '.join(used)}", handleInvalid="keep", featuresCol="_features", labelCol="_label")
-    m = Pipeline(stages=[form, GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_features", labelCol="_label", predictionCol="_p", regParam=1e-6)]).fit(d)
-    return Fitted(spec, m, used, dropped, {"n": float(n), "aic": float(m.stages[-1].summary.aic)})
+    d = d.select(F.col(spec.outcome).cast("double").alias(spec.outcome), *used)
+    form = form.fit(d)
+    # every iteration reads the rows again: features are made once
+    ready = materialise(form.transform(d).select("_features", "_label"), "model-features")
+    glm = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_features", labelCol="_label", predictionCol="_p", regParam=1e-6).fit(ready)
+    return Fitted(spec, PipelineModel([form, glm]), used, dropped, {"n": float(n), "aic": float(glm.summary.aic)})
 
 
 def predict(df: DataFrame, fitted: Fitted, name: str) -> DataFrame:
@@ -52,8 +57,9 @@ def predict(df: DataFrame, fitted: Fitted, name: str) -> DataFrame:
     known = F.lit(True)
     for c in fitted.used:
         known = known & F.col(c).isNotNull()
-    whole = fitted.model.transform(df.where(known)).withColumnRenamed("_p", name).drop("_features", "_label")
-    return whole.unionByName(df.where(~known), allowMissingColumns=True)
+    # one pass: what a missing covariate makes of a prediction is dropped
+    whole = fitted.model.transform(df).drop("_features", "_label")
+    return whole.withColumn("_p", F.when(known, F.col("_p"))).withColumnRenamed("_p", name)
 
 
 def probability_column(vector: str) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 #: Ranges per octave, and the magnitude below which a value counts as zero.
 PER_OCTAVE, LEAST = 16, 1e-12
 _OFFSET = 40 * PER_OCTAVE + 1
@@ -34,8 +36,8 @@ def range_of(y: Column) -> Column:
 def running(blocks: DataFrame, keys: Sequence[str], y: str, sums: Mapping[str, Column]) -> DataFrame:
     """blocks (one row per keys and value) with, for each sum, C<name> up to and including the value and T<name> of its
     group, and _place, a struct that sorts as the values of a group do, and _end, whether it is the group's last. Null
-    keys form groups."""
-    d = blocks.withColumn("_cut", range_of(F.col(y)))
+    keys form groups. The blocks are written once, as the ranges and the values within them are both read from them."""
+    d = materialise(blocks.withColumn("_cut", range_of(F.col(y))), "ranked-blocks")
     per = d.groupBy(*keys, "_cut").agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     group = Window.partitionBy(*keys)
     before = group.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
