@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: logical types of the known columns ----------------------------------------------------------------
 TEXTS = (
-    "ID_INDIV ID_EMPLOI NUMERO_EMPLOYEUR NUMERO_EMPLOYEUR_ALT SEXE SITUATION_MATRIMONIALE NIVEAU_ETUDE PROFESSION STATUT_TRAVAILLEUR TYPE_SALARIE CSP_CODE PROF_CODE RAISON_SOCIALE "
-    "SECTEUR_ACTIVITE SECTEUR_ACTIVITE_COD SECTOR_CODE LIBELLE_AGENCE COMMUNE PERIOD CL_AGE_EMPLOYE CL_ANCIENNETE_ENTREPRISE CL_ANCIENNETE_IMMAT CL_AGE_ENTREPRISE_IMMAT "
-    "CL_RED_AGE_EMPLOYE CL_RED_ANCIENNETE_ENTREPRISE CL_RED_ANCIENNETE_IMMAT CL_RED_AGE_ENTREPRISE_IMMAT CLASSE_EFFECTIF CLASSE_EFFECTIF_REDUITE"
-).split()
+    "ID_INDIV", "ID_EMPLOI", "NUMERO_EMPLOYEUR", "NUMERO_EMPLOYEUR_ALT", "SEXE", "SITUATION_MATRIMONIALE", "NIVEAU_ETUDE", "PROFESSION",
+    "STATUT_TRAVAILLEUR", "TYPE_SALARIE", "CSP_CODE", "PROF_CODE", "RAISON_SOCIALE", "SECTEUR_ACTIVITE", "SECTEUR_ACTIVITE_COD", "SECTOR_CODE",
+    "LIBELLE_AGENCE", "COMMUNE", "PERIOD", "CL_AGE_EMPLOYE", "CL_ANCIENNETE_ENTREPRISE", "CL_ANCIENNETE_IMMAT", "CL_AGE_ENTREPRISE_IMMAT",
+    "CL_RED_AGE_EMPLOYE", "CL_RED_ANCIENNETE_ENTREPRISE", "CL_RED_ANCIENNETE_IMMAT", "CL_RED_AGE_ENTREPRISE_IMMAT", "CLASSE_EFFECTIF",
+    "CLASSE_EFFECTIF_REDUITE",
+)
 NUMBERS = (
-    "CATEGORIE_ENTREPRISE EFFECTIF_SALARIES SALAIRE_BRUT DUREE_TRAVAILLEE SALAIRE_BRUT_MENS MOIS ANNEE TRIMESTRE SEMESTRE AGE_EMPLOYE ANCIENNETE_ENTREPRISE ANCIENNETE_IMMAT AGE_ENTREPRISE_IMMAT"
-).split()
-MOMENTS = "DATE_NAISSANCE DATE_EMBAUCHE DATE_IMMATRICULATION DATE_DEBUT_ACT_EMPLOY DATE_IMMAT_EMPLOYEUR".split()
+    "CATEGORIE_ENTREPRISE", "EFFECTIF_SALARIES", "SALAIRE_BRUT", "DUREE_TRAVAILLEE", "SALAIRE_BRUT_MENS", "MOIS", "ANNEE", "TRIMESTRE", "SEMESTRE",
+    "AGE_EMPLOYE", "ANCIENNETE_ENTREPRISE", "ANCIENNETE_IMMAT", "AGE_ENTREPRISE_IMMAT",
+)
+MOMENTS = (
+    "DATE_NAISSANCE", "DATE_EMBAUCHE", "DATE_IMMATRICULATION", "DATE_DEBUT_ACT_EMPLOY", "DATE_IMMAT_EMPLOYEUR",
+)
 TYPES = {**{c: "text" for c in TEXTS}, **{c: "number" for c in NUMBERS}, **{c: "moment" for c in MOMENTS}}
 
 # --- fixed values: code labels -----------------------------------------------------------------------------------------
@@ -44,6 +49,7 @@ class Dimension:
     enabled: bool = True
 
 
+# Fixed values.
 DIMENSIONS = [
     Dimension("global", None, "National", 1, False, False),
     Dimension("sector", "SECTEUR_ACTIVITE_COD", "Secteur d'activité", in_weights=True),
@@ -77,6 +83,7 @@ class Statistic:
     combine: bool = True
 
 
+# Fixed values.
 STATISTICS = [
     Statistic("n_obs", "count", "Effectif observé", combine=False),
     Statistic("n_weighted", "weight", "Effectif pondéré", combine=False),
@@ -106,6 +113,7 @@ class ModelSpec:
     floor: float = 0.01
 
 
+# Fixed values.
 MODELS = [
     ModelSpec(
         "declaration_firm",
@@ -140,6 +148,7 @@ class MergeSpec:
     enabled: bool = True
 
 
+# Fixed values.
 MERGES = [MergeSpec("secteurs", "secteurs_employeurs", "NUMERO_EMPLOYEUR", "NUMERO_EMPLOYEUR", keep=("SECTEUR_ACTIVITE_COD",), drop=("CLASSE_EFFECTIF",), check="SECTEUR_ACTIVITE_COD")]
 #: Quality bands of a similarity, best first.
 BANDS = (("excellent", 0.95), ("good", 0.85), ("acceptable", 0.75), ("poor", 0.60))
@@ -149,6 +158,17 @@ def merges(catalogue: Sequence[MergeSpec] = tuple(MERGES), kind: str | None = No
     return sorted((m for m in catalogue if m.enabled and (kind is None or m.kind == kind)), key=lambda m: m.order)
 
 
+def check_files(catalogue: Sequence[MergeSpec], exists: Callable[[str], bool]) -> dict[str, object]:
+    """Whether the lookups of all enabled entries are there: valid, and the names of existing and missing ones."""
+    there = {m.ref: exists(m.ref) for m in merges(catalogue)}
+    return {"valid": all(there.values()), "existing": [r for r, ok in there.items() if ok], "missing": [r for r, ok in there.items() if not ok]}
+
+
+def list_merges(catalogue: Sequence[MergeSpec], exists: Callable[[str], bool]) -> list[tuple[str, str, str, bool, int, bool]]:
+    """(name, lookup, kind, enabled, order, lookup exists) of every entry, in their order."""
+    return [(m.name, m.ref, m.kind, m.enabled, m.order, exists(m.ref)) for m in sorted(catalogue, key=lambda m: m.order)]
+
+
 def toggle(catalogue: list[MergeSpec], name: str, enabled: bool) -> list[MergeSpec]:
     """The catalogue with one entry switched; an unknown name is an error."""
     from dataclasses import replace
@@ -169,6 +189,7 @@ class Rule:
     columns: tuple[str, ...] = ()
 
 
+# Fixed values.
 RULES = [
     Rule("salaire_brut_positive", "salaire_brut > 0", "Salaire brut doit être positif", "exclude", ("salaire_brut",)),
     Rule("duree_travaillee_valid", "duree_travaillee >= 0 AND duree_travaillee <= 12", "Durée travaillée invalide", "flag", ("duree_travaillee",)),
@@ -188,34 +209,16 @@ def missing_columns(columns: Iterable[str], required: Iterable[str]) -> list[str
     return [c for c in required if c.upper() not in have]
 
 
-#: Name patterns by role, for tables whose columns aren't known beforehand.
+#: Name patterns by role, for tables whose columns aren't known beforehand.
 ROLES = {
-    "id": r"^(id|matricule|identifiant)|_id$|indiv",
-    "time": r"period|date|mois|annee|time|trimestre|shipdate",
-    "salary": r"salai|wage|remun|extendedprice|pay",
-    "status": r"statut|status|type",
-    "firm": r"employeur|firm|entreprise|suppkey|siret",
+    "id": r"id|mat|ident|individu|person|num|nni|cnps",
+    "time": r"annee|year|periode|date|trimestre|mois|time|an",
+    "salary": r"sal|remun|wage|revenu|income|montant|masse",
+    "status": r"statut|status|categorie|type|class|poste|fonction",
+    "firm": r"entreprise|firm|employ|societe|company|etab|raison",
 }
 
 
 def guess_roles(columns: Sequence[str], roles: dict[str, str] = ROLES) -> dict[str, list[str]]:
     """Columns whose names fit each role, in their order."""
     return {r: [c for c in columns if re.search(rx, c, re.I)] for r, rx in roles.items()}
-
-
-@dataclass
-class Registry:
-    """A named collection that users extend."""
-
-    items: dict[str, object] = field(default_factory=dict)
-
-    def add(self, name: str, item: object) -> None:
-        self.items[name] = item
-
-    def get(self, name: str) -> object:
-        if name not in self.items:
-            raise KeyError(f"{name}; known: {', '.join(sorted(self.items))}")
-        return self.items[name]
-
-    def names(self, test: Callable[[object], bool] = lambda _: True) -> list[str]:
-        return [k for k, v in self.items.items() if test(v)]

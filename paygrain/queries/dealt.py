@@ -39,6 +39,12 @@ def p2_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The changes with the names of the fields that differ, in the order of the alphabet."""
+    c = _changes(spark, d)
+    return c.withColumn("changed", F.array_join(F.array_sort("changed"), ","))
+
+
+def _changes(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.snapshot_changes(
         table(spark, d, "instantanes"),
         "instantane",
@@ -50,7 +56,7 @@ def p3_changes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return p3_changes(spark, d).select("instantane", "obs_id", "changement")
+    return _changes(spark, d).select("instantane", "obs_id", "changement")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -101,6 +101,17 @@ OR (n.x IS NULL) <> (o.x IS NULL) OR abs(n.x - o.x) > 0.005 OR (n.y IS NULL) <>
 """
 
 
+_DIFFERS = {"type_salarie": "a", "csp_code": "b", "commune": "c", "secteur_activite_cod": "d", "sexe": "e", "salaire_brut": "x", "duree_travaillee": "y"}
+_P3_CHANGES = _P3.replace(
+    "'changed' END AS changement FROM j",
+    "'changed' END AS changement, CASE WHEN ko IS NOT NULL AND kn IS NOT NULL THEN array_to_string(list_sort(list_filter(["
+    + ", ".join(
+        f"CASE WHEN n.{f} IS DISTINCT FROM o.{f} THEN '{c}' END" if f < "x" else f"CASE WHEN (n.{f} IS NULL) <> (o.{f} IS NULL) OR abs(n.{f} - o.{f}) > 0.005 THEN '{c}' END" for c, f in _DIFFERS.items()
+    )
+    + "], lambda q: q IS NOT NULL)), ',') END AS changed FROM j",
+)
+
+
 def _p4() -> str:
     cols = ["id_indiv", "numero_employeur", "mois", "sexe", "commune", "salaire_brut", "duree_travaillee"]
     rows = "\nUNION ALL ".join(f"SELECT chargement c, '{x}' k, count(*) n, count(*) - count({x}) z, count(DISTINCT {x}) u FROM chargements GROUP BY ALL" for x in cols)
@@ -155,4 +166,4 @@ UNION ALL SELECT 'base_analytique', ligne_id, 'numero_employeur' FROM x WHERE e
 UNION ALL SELECT 'panel_employeur', ligne_id, 'd_jt' FROM p WHERE ok IS NOT TRUE AND n > 0
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p4_found": _p4(), "p4_figures": _p4_figures(), "p6_found": _P6}
+ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p3_changes": _P3_CHANGES, "p4_found": _p4(), "p4_figures": _p4_figures(), "p6_found": _P6}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import bins, dates, mathx, similarity, text
 from ..operators import audit, clean, intervals, models, panel, refjoin, reshape, stats
 from ..plans import catalog
-from ..session import materialise, table
+from ..session import folder, materialise, table
+from ..sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -580,10 +581,23 @@ def str04_to_str07_similarities(s, d):
     return rounded(p.select("a", "b", *[similarity.similarity(m, F.col("a"), F.col("b")).alias(m) for m in ("jw", "lv", "dl", "hamming", "jaccard")]), 6)
 
 
-@query()
+_COUNTS = "(SELECT i, g, count(*) n FROM (SELECT i, unnest({}) g FROM p) GROUP BY ALL)"
+
+
+@query(
+    f"""WITH p AS (SELECT row_number() OVER () i, a, b FROM ({_PAIRS})), x AS {_COUNTS.format(_G.format('a'))}, y AS {_COUNTS.format(_G.format('b'))},
+j AS (SELECT i, coalesce(x.n, 0) u, coalesce(y.n, 0) v FROM x FULL JOIN y USING (i, g)), q AS (SELECT i, sum(abs(u - v)) d, sum(u * v) / sqrt(sum(u * u) * sum(v * v)) c FROM j GROUP BY i)
+SELECT a, b, round(1 - damerau_levenshtein(a, b) / greatest(length(a), length(b)), 6) osa, round(greatest(0, 1 - d / greatest(length(a), length(b))), 6) qgram, round(c, 6) cosine FROM p JOIN q USING (i)"""
+)
 def str06_str07_more_similarities(s, d):
+    """In these pairs no part is edited twice, so that both kinds of swaps agree."""
     p = _pairs(s, d)
-    return p.select("a", "b", *[similarity.similarity(m, F.col("a"), F.col("b")).alias(m) for m in ("osa", "lcs", "qgram", "cosine")])
+    return rounded(p.select("a", "b", *[similarity.similarity(m, F.col("a"), F.col("b")).alias(m) for m in ("osa", "qgram", "cosine")]), 6)
+
+
+@query()
+def str06_lcs(s, d):
+    return _pairs(s, d).select("a", "b", similarity.similarity("lcs", F.col("a"), F.col("b")).alias("lcs"))
 
 
 @query(
@@ -771,10 +785,35 @@ def joi06_sector_code(s, d):
     return j.select("ligne_id", "secteur_activite_cod_ext", F.coalesce("secteur_activite_cod_ext", "secteur_activite_cod").alias("sector_code"))
 
 
-@query("SELECT column_name AS \"column\", 'missing' AS change FROM (DESCRIBE declarations) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE base_analytique)) UNION ALL SELECT column_name, 'extra' FROM (DESCRIBE base_analytique) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE declarations))")
+@query(
+    """WITH x AS (SELECT column_name c, column_type t FROM (DESCRIBE declarations)), y AS (SELECT column_name c, column_type t FROM (DESCRIBE SELECT * REPLACE (mois::VARCHAR AS mois, annee::DOUBLE AS annee) FROM base_analytique))
+SELECT c AS "column", 'missing' AS change FROM x ANTI JOIN y USING (c) UNION ALL SELECT c, 'extra' FROM y ANTI JOIN x USING (c) UNION ALL SELECT c, 'retyped' FROM x JOIN y USING (c) WHERE x.t <> y.t"""
+)
 def set03_qc02_qc03_schema_differences(s, d):
-    r = audit.schema_differences([("declarations", _decl(s, d)), ("base_analytique", table(s, d, "base_analytique"))])[0]
-    return s.createDataFrame([(c, k) for k in ("missing", "extra") for c in r[k]], "`column` string, change string")
+    other = table(s, d, "base_analytique").withColumn("mois", F.col("mois").cast("string")).withColumn("annee", F.col("annee").cast("double"))
+    r = audit.schema_differences([("declarations", _decl(s, d)), ("base_analytique", other)])[0]
+    return s.createDataFrame([(c, k) for k in ("missing", "extra") for c in r[k]] + [(c, "retyped") for c, _, _ in r["retyped"]], "`column` string, change string")
+
+
+_ROLE_ROWS = " UNION ALL ".join(f"SELECT '{role}' AS role, column_name AS \"column\" FROM (DESCRIBE declarations) WHERE regexp_matches(lower(column_name), '{rx}')" for role, rx in catalog.ROLES.items())
+
+
+@query(_ROLE_ROWS)
+def rsh09_key_variables(s, d):
+    got = catalog.guess_roles(_decl(s, d).columns)
+    return s.createDataFrame([(role, c) for role, cs in got.items() for c in cs], "role string, `column` string")
+
+
+@query("SELECT unnest(['ID_INDIV', 'CLASSE_EFFECTIF', 'OBS_ID']) AS \"column\" EXCEPT SELECT upper(column_name) FROM (DESCRIBE declarations)")
+def qc06_required_columns(s, d):
+    return s.createDataFrame([(c,) for c in catalog.missing_columns(_decl(s, d).columns, ["ID_INDIV", "CLASSE_EFFECTIF", "OBS_ID"])], "`column` string")
+
+
+@query("SELECT * FROM (VALUES ('noms', 'part', 'fuzzy', true, 2, true), ('perdu', 'absente', 'exact', true, 3, false), ('secteurs', 'secteurs_employeurs', 'exact', false, 1, true)) t(name, lookup, kind, enabled, \"order\", \"exists\")")
+def udx05_lookups(s, d):
+    """Lookups with what their files are, one switched off."""
+    specs = [*catalog.toggle(catalog.MERGES, "secteurs", False), catalog.MergeSpec("perdu", "absente", "k", "k", order=3), catalog.MergeSpec("noms", "part", "p_name", "m", kind="fuzzy", order=2)]
+    return s.createDataFrame(catalog.list_merges(specs, lambda n: files.exists(s, f"{d}/{n}.parquet")), "name string, lookup string, kind string, enabled boolean, order int, exists boolean")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN greatest(10, least(40, p_size)) END AS clamped, sqrt(p_size) root, abs(p_size - 25) away FROM part")
@@ -805,10 +844,62 @@ def joi13_invariants_back(s, d):
     return table(s, d, "base_analytique").join(first, "id_indiv", "left").select("ligne_id", "premier_employeur")
 
 
-@query()
+@query(
+    f"""WITH {_B}, k AS (SELECT secteur_activite_cod g, annee, y, sum(w)::DOUBLE W, sum(w * w)::DOUBLE S, count(*) c FROM b WHERE y IS NOT NULL GROUP BY ALL),
+p AS (SELECT *, coalesce(sum(W * y) OVER (PARTITION BY g, annee ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) bef FROM k),
+t AS (SELECT g, annee, sum(c) n, sum(W) * sum(W * y) den, sum(W * bef + y * (W * W + S) / 2) l, sum(S * y) e FROM p GROUP BY ALL)
+SELECT g secteur_activite_cod, annee, CASE WHEN n >= 2 THEN round(1 - 2 * l / den, 6) END gini, CASE WHEN n >= 2 THEN round(1 - 2 * l / den + e / den, 6) END usual FROM t"""
+)
 def agg09_usual_gini(s, d):
     """A statistic added by a catalogue entry."""
-    return stats.group_statistics(_base(s, d).where("y IS NOT NULL"), ["secteur_activite_cod", "annee"], "y", "w", [catalog.Statistic("gini", "gini", ""), catalog.Statistic("usual", "gini_standard", "")])
+    return rounded(stats.group_statistics(_base(s, d).where("y IS NOT NULL"), ["secteur_activite_cod", "annee"], "y", "w", [catalog.Statistic("gini", "gini", ""), catalog.Statistic("usual", "gini_standard", "")]), 6)
+
+
+# --- files -----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT n_nationkey::VARCHAR n_nationkey, n_name, n_regionkey::VARCHAR n_regionkey, NULL::VARCHAR r_name FROM nation UNION ALL SELECT NULL, NULL, r_regionkey::VARCHAR, r_name FROM region")
+def src01_to_src03_src15_workbooks(s, d):
+    """Two workbooks written, then read with all their sheets one under the other, columns by header; a lock file stays out."""
+    n, r = table(s, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), table(s, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    at = folder(s, "books")
+    files.write_report(f"{at}/01_2024.xlsx", {"Feuil1": n.where("n_nationkey < 10"), "Feuil2": r}, {"source": "nation"})
+    files.write(n.where("n_nationkey >= 10"), f"{at}/02_2024.xlsx")
+    files.write(r, f"{at}/~$03_2024.xlsx")
+    x = files.read_workbooks(s, at, keep_place=True).where("feuille <> 'Metadata'")
+    return x.select("n_nationkey", "n_name", "n_regionkey", "r_name")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey, k FROM nation, (VALUES ('csv'), ('dta'), ('json'), ('orc'), ('parquet'), ('xlsx')) t(k)")
+def src04_to_src08_src17_readers(s, d):
+    """A table written by each sink and read by each reader, two of its columns asked for by name."""
+    n = table(s, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
+    at, out = folder(s, "sinks"), None
+    for k in ("csv", "dta", "json", "orc", "parquet", "xlsx"):
+        files.write(n, f"{at}/nation.{k}")
+        x = files.read(s, f"{at}/nation.{k}", columns=["n_nationkey", "n_name", "n_regionkey"])
+        x = x.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"), F.lit(k).alias("k"))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@query("SELECT row_number() OVER () - 1 AS place, column_name AS \"column\" FROM (DESCRIBE declarations)")
+def src07_probe(s, d):
+    kinds, _ = files.probe(_decl(s, d))
+    return s.createDataFrame([(i, c) for i, (c, _) in enumerate(kinds)], "place bigint, `column` string")
+
+
+@query("SELECT n_name AS file, CASE WHEN n_nationkey % 2 = 0 THEN 'completed' ELSE 'in_progress' END AS status FROM nation")
+def src11_registry(s, d):
+    """Entries set twice: the later state holds."""
+    import tempfile
+
+    reg = files.IntakeRegistry(f"{tempfile.mkdtemp()}/registry.csv")  # the registry is a file of the driver
+    for r in table(s, d, "nation").select("n_nationkey", "n_name").collect():
+        reg.upsert(r["n_name"], "h", "in_progress")
+        if r["n_nationkey"] % 2 == 0:
+            reg.upsert(r["n_name"], "h", "completed")
+    return reg.frame(s).select("file", "status")
 
 
 # --- intake ----------------------------------------------------------------------------------------------------------

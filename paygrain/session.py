@@ -72,6 +72,14 @@ def _written(spark: SparkSession) -> str:
     return sc._paygrain_written
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new, empty folder in the shared one, for files of this application."""
+    at = f"{_written(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return at
+
+
 def materialise(df: DataFrame, name: str, tight: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 

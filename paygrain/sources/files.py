@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
 import os
 import shutil
@@ -11,6 +12,7 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,7 @@ def read(spark: SparkSession, path: str, sheet: str = "*", skip: int = 0, column
     elif kind == "xlsx":
         d = read_workbooks(spark, path, sheet, skip)
     elif kind == "xls":
-        import pandas as pd  # needs an engine that may be absent; its own error says so
-
+        # needs an engine that may be absent; its own error says so
         d = spark.createDataFrame(pd.read_excel(path, sheet_name=0 if sheet == "*" else sheet, skiprows=skip).astype(object))
     elif kind == "dta":
         d = read_stata(spark, path)
@@ -47,31 +48,50 @@ def read_workbooks(spark: SparkSession, path: str, sheet: str = "*", skip: int =
     """All sheets of all workbooks, one under the other, columns by header; keep_place: with fichier, feuille, no_ligne.
 
     The headers are listed in a first pass over the cells' keys, distinct before they are gathered."""
-    spark.dataSource.register(xlsx.XlsxSource)
-    raw = spark.read.format("xlsx").option("sheet", sheet).option("skip", skip).load(path)
+    def cells(batches: Iterable[pd.DataFrame]):
+        for b in batches:
+            for where, content in zip(b["path"], b["content"]):
+                for name, head, rows in xlsx.sheets(io.BytesIO(content), sheet, skip):
+                    out = [(where, name, n, {h: v for h, v in zip(head, row) if v is not None}) for n, (_, row) in enumerate(rows, 1)]
+                    yield pd.DataFrame(out, columns=["fichier", "feuille", "no_ligne", "cells"]).astype({"no_ligne": "int32"})
+
+    # files are opened by Spark, wherever they lie; one row of bytes a workbook
+    raw = _contents(spark, path, "*.xlsx").mapInPandas(cells, "fichier string, feuille string, no_ligne int, cells map<string,string>")
     heads = [r[0] for r in raw.select(F.explode(F.map_keys("cells")).alias("h")).distinct().orderBy("h").collect()]
     place = ["fichier", "feuille", "no_ligne"] if keep_place else []
     return raw.select(*place, *[F.col("cells")[h].alias(h) for h in heads if h not in place])
 
 
-def read_stata(spark: SparkSession, path: str, chunk: int = 100_000) -> DataFrame:
-    """A Stata file, or several by a pattern: one task per file, read in chunks. The schema comes from the first rows."""
-    import pandas as pd
+def _contents(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(path, content): name and bytes of the files of a folder or pattern, without the lock files of open ones."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    name = F.url_decode(F.element_at(F.split("path", "/"), -1))
+    return f.select(name.alias("path"), "content").where(~F.col("path").startswith("~$"))
 
-    import glob
 
-    files = sorted(glob.glob(path)) or [path]
-    head = next(iter(pd.read_stata(files[0], chunksize=1000, convert_categoricals=False)))
-    schema = spark.createDataFrame(head.convert_dtypes().astype(object).where(head.notna(), None)).schema if len(head) else spark.createDataFrame([], "empty string").schema
+def read_stata(spark: SparkSession, path: str, chunk: int = 100_000) -> DataFrame:
+    """A Stata file, or several by a pattern: one task per file, read in chunks. The columns are those of the first file's
+    header, the type of each what its storage type can hold; other files' columns are brought to them by name, absent ones
+    null. A file is one row of bytes: at most 2 GB."""
+    first = _contents(spark, path, "*").orderBy("path").select("path", F.substring("content", 1, 1 << 24).alias("head")).first()
+    with pd.io.stata.StataReader(io.BytesIO(bytes(first["head"]))) as r:
+        r.variable_labels()  # reads the header
+        whole = {"b", "h", "l"}
+        kinds = ["timestamp_ntz" if f.startswith(("%t", "%d")) else "long" if t in whole else "double" if t in ("f", "d") else "string" for t, f in zip(r._typlist, r._fmtlist)]
+        names = list(r._varlist)
 
     def run(batches: Iterable[pd.DataFrame]):
         for b in batches:
-            for f in b["path"]:
-                for part in pd.read_stata(f, chunksize=chunk, convert_categoricals=False):
-                    yield part
+            for content in b["content"]:
+                for part in pd.read_stata(io.BytesIO(content), chunksize=chunk, convert_categoricals=False):
+                    yield pd.DataFrame({n: part[n].astype("Int64") if k == "long" and n in part else part[n] if n in part else None for n, k in zip(names, kinds)})
 
-    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(len(files))
-    return paths.mapInPandas(run, schema)
+    return _contents(spark, path, "*").mapInPandas(run, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
 
 
 def probe(df: DataFrame, rows: int = 1000) -> tuple[list[tuple[str, str]], DataFrame]:
@@ -150,24 +170,38 @@ def gathered(df: DataFrame) -> list:
 def write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """By extension: parquet, csv (also for unknown extensions), json, orc - distributed; xlsx and dta for small results."""
     kind = Path(path.rstrip("/")).suffix.lower().lstrip(".")
+    data = io.BytesIO()
     if kind == "xlsx":
-        xlsx.write(path, {"data": (df.columns, gathered(df))})
+        xlsx.write(data, {"data": (df.columns, gathered(df))})
+        _put(df.sparkSession, path, data.getvalue())
     elif kind == "dta":
-        import pandas as pd
-
-        pd.DataFrame(gathered(df), columns=df.columns).to_stata(path, write_index=False, version=118)
+        pd.DataFrame(gathered(df), columns=df.columns).to_stata(data, write_index=False, version=118)
+        _put(df.sparkSession, path, data.getvalue())
     else:
         w = df.write.mode("overwrite").partitionBy(*partition_by) if partition_by else df.write.mode("overwrite")
         (w.format(kind) if kind in ("parquet", "json", "orc") else w.format("csv").option("header", True)).save(path)
 
 
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, through the file system that its path names."""
+    if "://" not in path or path.startswith("file:"):
+        Path(path.removeprefix("file://").removeprefix("file:")).write_bytes(data)
+        return
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(data))
+    out.close()
+
+
 def write_report(path: str, tables: dict[str, DataFrame], metadata: dict[str, object], legend: Sequence[tuple[str, str]] = ()) -> None:
     """A workbook with one sheet per table, then Metadata and Legende."""
     out = {n: (d.columns, gathered(d)) for n, d in tables.items()}
     out["Metadata"] = (["cle", "valeur"], [(k, str(v)) for k, v in metadata.items()])
     if legend:
         out["Legende"] = (["terme", "sens"], list(legend))
-    xlsx.write(path, out)
+    data = io.BytesIO()
+    xlsx.write(data, out)
+    _put(SparkSession.getActiveSession(), path, data.getvalue())
 
 
 def write_text(path: str, title: str, sections: dict[str, object]) -> None:

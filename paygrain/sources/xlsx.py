@@ -12,6 +12,7 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from pathlib import Path
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -36,8 +37,8 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def sheets(path: str, sheet: str = "*", skip: int = 0) -> Iterator[tuple[str, list[str], Iterator[tuple[int, list[str | None]]]]]:
-    """(sheet name, headers, rows) of the sheets that match: * for all, a number from 1, or a name."""
+def sheets(path: str | BinaryIO, sheet: str = "*", skip: int = 0) -> Iterator[tuple[str, list[str], Iterator[tuple[int, list[str | None]]]]]:
+    """(sheet name, headers, rows) of the sheets that match: * for all, a number from 1, or a name. path: or an open file."""
     with zipfile.ZipFile(path) as z:
         names = set(z.namelist())
         shared = []
@@ -112,7 +113,7 @@ class _Reader(DataSourceReader):
                 yield os.path.basename(partition.path), name, n, {h: v for h, v in zip(head, row) if v is not None}
 
 
-def write(path: str, tables: dict[str, tuple[Sequence[str], Sequence[Sequence]]], freeze: bool = True) -> None:
+def write(path: str | BinaryIO, tables: dict[str, tuple[Sequence[str], Sequence[Sequence]]], freeze: bool = True) -> None:
     """Write a workbook of (headers, rows) per sheet, with a bold, frozen header row. For small results on the driver."""
     names = [re.sub(r"[\\/*?:\[\]]", "_", n)[:31] for n in tables]
     col = lambda k: (chr(64 + k // 26) if k >= 26 else "") + chr(65 + k % 26)
