@@ -142,6 +142,13 @@ def fit_linear(df: DataFrame, spec: ModelSpec) -> Fitted:
     return Fitted(spec, m, used, dropped, figures)
 
 
+def residual_statistics(df: DataFrame, fitted: Fitted) -> DataFrame:
+    """One row: mean, sd, min, max, q25, q75 of outcome less prediction on complete cases."""
+    r = predict(df, fitted, "_hat").select((F.col(fitted.spec.outcome) - F.col("_hat")).alias("_r")).where("_r IS NOT NULL")
+    q = percentiles(r, "_r", (0.25, 0.75)).scalar()
+    return r.agg(F.avg("_r").alias("mean"), F.stddev_samp("_r").alias("sd"), F.min("_r").alias("min"), F.max("_r").alias("max"), q[0].alias("q25"), q[1].alias("q75"))
+
+
 def impute(df: DataFrame, fitted: Fitted, key: Sequence[str], times: int = 5, seed: int = 1) -> DataFrame:
     """`times` stacked copies of df tagged imputation_id, the predicted log wage plus a normal residual. The residual
     comes from a hash of seed, key and copy, so a lost partition is recomputed with the same values."""

@@ -110,8 +110,9 @@ def tail_cutoffs(ser: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
         ser.where((F.col("n") >= rules.least) & (F.col("v") > 0) & (F.col("med") > 0))
         .groupBy("source", "champ", F.pmod("month", F.lit(12)).alias("cal"), F.floor(r / rules.width).alias("b"))
         .agg(F.count("*").alias("c"))
-        .withColumn("r", (F.col("b") + 0.5) * rules.width)
     )
+    # read for the seasons, for each source's tail and for the common one
+    hist = materialise(hist, "spike-residuals").withColumn("r", (F.col("b") + 0.5) * rules.width)
     by_cal = Window.partitionBy("source", "champ", "cal")
     clipped = F.greatest(F.lit(-top), F.least(F.lit(top), F.col("r")))
     # shrunk towards no effect: five values' worth
@@ -163,17 +164,19 @@ def _pareto(hist: DataFrame, keys: list[str], rules: SpikeRules) -> DataFrame:
     )
 
 
-def normal_repeats(ser: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
-    """(source, champ) for which stuck values are worth a flag: under rules.repeats of all steps leave the field unchanged."""
-    return (
-        ser.where("same IS NOT NULL")
-        .groupBy("source", "champ")
-        .agg(F.avg(F.col("same").cast("double")).alias("share"))
-        .where(F.col("share") < rules.repeats)
-        .select("source", "champ")
+def by_month(ser: DataFrame) -> DataFrame:
+    """(source, champ, month): values, least and most of them, steps into the month and how many leave the field unchanged."""
+    return ser.groupBy("source", "champ", "month").agg(
+        F.count("*").alias("values"), F.min("v").alias("least"), F.max("v").alias("most"), F.count("same").alias("steps"), F.sum(F.col("same").cast("bigint")).alias("unchanged")
     )
 
 
+def normal_repeats(months: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
+    """(source, champ) for which stuck values are worth a flag: under rules.repeats of all steps leave the field unchanged."""
+    share = F.sum("unchanged").cast("double") / F.sum("steps")
+    return months.groupBy("source", "champ").agg(share.alias("share")).where(F.col("share") < rules.repeats).select("source", "champ")
+
+
 def flag_spikes(decl: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
     """Every flagged value: (ligne_id, champ, valeur, regle, med, n, residual, cutoff).
 
@@ -186,31 +189,21 @@ def flag_spikes(decl: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
     lines = readings(decl, rules)
     ser = materialise(series(lines, rules), "spike-series", tight=True)
 
-    cut = tail_cutoffs(ser, rules)
-    tail = (
-        ser.where((F.col("n") >= rules.least) & (F.col("med") > 0))
-        .withColumn("cal", F.pmod("month", F.lit(12)))
-        .join(cut.select("source", "champ", "cal", "season", "cutoff"), ["source", "champ", "cal"], "left")
-        # a value of the other sign has no log ratio and lies beyond any cutoff
-        .withColumn("residual", F.when(F.col("v") > 0, residual_ratio(F.col("v"), F.col("med")) - F.coalesce("season", F.lit(0.0))))
-        .where((F.col("v") < 0) | (F.abs("residual") >= F.coalesce("cutoff", F.lit(math.log(rules.ratio) - 1e-9))))
-        .withColumn("regle", F.lit("tail"))
-    )
-    rare = normal_repeats(ser, rules)
-    none = F.lit(None).cast("double")
-    stuck = ser.where("stuck").join(rare, ["source", "champ"], "left_semi").withColumn("regle", F.lit("stuck"))
-    months = (
-        ser.where(F.col("champ").isin(*rules.grouped))
-        .groupBy("source", "champ", "month")
-        .agg(F.count("*").alias("_k"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-        .where((F.col("_k") >= rules.group) & (F.col("_lo") == F.col("_hi")))
-        .join(rare, ["source", "champ"], "left_semi")
-    )
-    agreed = ser.join(months.select("source", "champ", "month"), ["source", "champ", "month"], "left_semi").withColumn("regle", F.lit("agreed"))
-    cols = ["source", "worker", "champ", "month", "regle", "med", "n"]
-    keyed = tail.select(*cols, "residual", "cutoff").unionByName(
-        stuck.unionByName(agreed).select(*cols, none.alias("residual"), none.alias("cutoff"))
-    )
+    # everything that a value is held against, one row per source, field and month: a single join brings it to the values
+    months = materialise(by_month(ser), "spike-months").withColumn("cal", F.pmod("month", F.lit(12)))
+    rare = normal_repeats(months, rules).withColumn("rare", F.lit(True))
+    one_value = F.col("champ").isin(*rules.grouped) & (F.col("values") >= rules.group) & (F.col("least") == F.col("most"))
+    known = months.join(tail_cutoffs(ser, rules).select("source", "champ", "cal", "season", "cutoff"), ["source", "champ", "cal"], "left").join(rare, ["source", "champ"], "left")
+    known = known.select("source", "champ", "month", "season", "cutoff", F.coalesce("rare", F.lit(False)).alias("rare"), (one_value & F.coalesce("rare", F.lit(False))).alias("agreed"))
+    d = ser.join(known, ["source", "champ", "month"])
+    # a value of the other sign has no log ratio and lies beyond any cutoff
+    d = d.withColumn("residual", F.when((F.col("v") > 0) & (F.col("med") > 0), residual_ratio(F.col("v"), F.col("med")) - F.coalesce("season", F.lit(0.0))))
+    far = (F.col("v") < 0) | (F.abs("residual") >= F.coalesce("cutoff", F.lit(math.log(rules.ratio) - 1e-9)))
+    tail = F.coalesce((F.col("n") >= rules.least) & (F.col("med") > 0) & far, F.lit(False))
+    rules_met = F.filter(F.array(F.when(tail, "tail"), F.when(F.col("stuck") & F.col("rare"), "stuck"), F.when(F.col("agreed"), "agreed")), lambda x: x.isNotNull())
+    keyed = d.select("source", "worker", "champ", "month", "med", "n", "residual", "cutoff", F.explode(rules_met).alias("regle"))
+    of_tail = lambda c: F.when(F.col("regle") == "tail", F.col(c)).alias(c)
+    keyed = keyed.select("source", "worker", "champ", "month", "regle", "med", "n", of_tail("residual"), of_tail("cutoff"))
     # back to every copy of the line; both sides are hashed on the whole key, a hot one is split by adaptive execution
     long = _longer(lines.where("worker IS NOT NULL AND source IS NOT NULL"), ["ligne_id", "source", "worker", "month"], rules.fields)
     by_key = long.join(keyed, ["source", "worker", "champ", "month"]).select(

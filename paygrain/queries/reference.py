@@ -715,8 +715,12 @@ def mod07_mod08_imputation(s, d):
 
 @query()
 def mod09_regression_diagnostics(s, d):
-    f = models.fit_linear(_history(s, d), _LINE).figures
-    return s.createDataFrame(sorted(f.items()), "figure string, value double")
+    h = _history(s, d)
+    m = models.fit_linear(h, _LINE)
+    r = models.residual_statistics(h, m)
+    names = ["mean", "sd", "min", "max", "q25", "q75"]
+    rows = r.unpivot([], names, "figure", "value").select(F.concat(F.lit("residual_"), "figure").alias("figure"), "value")
+    return s.createDataFrame(sorted(m.figures.items()), "figure string, value double").unionByName(rows)
 
 
 @query("SELECT ligne_id, 1.0::DOUBLE rho FROM base_analytique")

@@ -201,3 +201,10 @@ def test_similarity_join_is_exact_for_any_blocks(spark):
     kept = sum(shared.get(v) == m for v, (m, _) in want.items() if m)
     assert set(shared) <= {v for v, (m, _) in want.items() if m} and kept >= 0.7 * sum(m is not None for m, _ in want.values())
     assert {(r.value, r.match, r.score) for r in refjoin.best_matches(x.where("t = 'man'"), "t", y.where("false"), "m").collect()} == {("man", None, None)}
+
+
+def test_residual_statistics(spark):
+    d = spark.createDataFrame([(float(x), 2.0 * x + (1 if x % 2 else -1)) for x in range(40)] + [(None, 5.0), (3.0, None)], "x double, y double")
+    m = models.fit_linear(d, catalog.ModelSpec("m", "linear", "y", ("x",)))
+    r = models.residual_statistics(d, m).first()
+    assert abs(r["mean"]) < 1e-6 and abs(r.sd - m.figures["rmse"] * (40 / 39) ** 0.5) < 1e-6 and -1.2 < r.min < r.q25 < r.q75 < r.max < 1.2
