@@ -18,8 +18,10 @@ def mean_with_variance(df: DataFrame, keys: Sequence[str], y: str, w: str, alpha
     """keys, n, sum_w, mean, variance, se, ci_lower, ci_upper: variance of the weighted mean, sum(w^2 (y - mean)^2) /
     (sum w)^2, times n / (n - 1) for more than one row. Rows with a null value or weight are left out."""
     b = blocks(df.dropna(subset=[y, w]), keys, y, w)
-    g = Window.partitionBy(*keys)
-    b = b.withColumn("mu", F.try_divide(F.sum(F.col("W") * F.col("y")).over(g), F.sum("W").over(g)))
+    # the means are joined back: a window would bring a whole group into one task
+    b = materialise(b, "variance-blocks")
+    mu = b.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.try_divide(F.sum(F.col("W") * F.col("y")), F.sum("W")).alias("mu"))
+    b = b.join(mu, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]).drop(*[f"_k_{k}" for k in keys])
     s = b.groupBy(*keys).agg(F.sum("c").alias("n"), F.sum("W").alias("sum_w"), F.max("mu").alias("mean"), F.sum(F.col("S2") * F.pow(F.col("y") - F.col("mu"), 2)).alias("_v"))
     v = F.try_divide(F.col("_v"), F.col("sum_w") * F.col("sum_w"))
     s = s.withColumn("variance", F.when(F.col("n") > 1, v * F.col("n") / (F.col("n") - 1)).otherwise(v)).withColumn("se", F.sqrt("variance")).drop("_v")

@@ -389,7 +389,7 @@ def agg15_extremes(s, d):
 
 @query()
 def agg16_statistics_with_intervals(s, d):
-    return intervals.with_intervals(_base(s, d), ["sexe", "annee", "mois"], "y", "w", replicates=100)
+    return intervals.with_intervals(_base(s, d), ["sexe", "annee", "mois"], "y", "w")
 
 
 def _imputed(s, d):
@@ -417,10 +417,11 @@ def agg18_rubin_extended(s, d):
 
 
 @query(
-    f"{_IMP}, e AS (SELECT sexe, annee, mois, m, sum(w * y)::DOUBLE / sum(w)::DOUBLE mean, max(y) mx FROM i GROUP BY ALL) SELECT 'sex' dimension, sexe group_value, annee, mois, statistique, count(v) m, round(avg(v), 3) estimate, round(var_samp(v), 1) variance FROM (SELECT sexe, annee, mois, unnest([{{'statistique': 'mean', 'v': mean}}, {{'statistique': 'max', 'v': mx}}], recursive := true) FROM e) GROUP BY ALL"
+    f"""{_IMP}, l AS (SELECT annee, mois, m, y, w, unnest([{{'d': 'global', 'g': 'Total'}}, {{'d': 'sector', 'g': secteur_activite_cod}}, {{'d': 'age_employe', 'g': cl_red_age_employe}}, {{'d': 'sex', 'g': sexe}}, {{'d': 'commune', 'g': commune}}], recursive := true) FROM i),
+e AS (SELECT d, g, annee, mois, m, sum(w * y)::DOUBLE / sum(w)::DOUBLE mean, max(y) mx FROM l GROUP BY ALL) SELECT d dimension, g group_value, annee, mois, statistique, count(v) m, round(avg(v), 3) estimate, round(coalesce(var_samp(v), CASE WHEN count(v) >= 1 THEN 0 END), 1) variance FROM (SELECT d, g, annee, mois, unnest([{{'statistique': 'mean', 'v': mean}}, {{'statistique': 'max', 'v': mx}}], recursive := true) FROM e) WHERE v IS NOT NULL GROUP BY ALL"""
 )
 def agg19_combine_dimensions(s, d):
-    x = stats.all_dimensions(_imputed(s, d), [_DIMS[3]], "y", "w", extra=["imputation_id"])
+    x = stats.all_dimensions(_imputed(s, d), _DIMS, "y", "w", extra=["imputation_id"])
     c = intervals.combine_dimensions(x, ["mean", "max"], ["dimension", "group_value", "annee", "mois"])
     return c.select("dimension", "group_value", "annee", "mois", "statistique", "m", F.round("estimate", 3).alias("estimate"), F.round("variance", 1).alias("variance"))
 
@@ -433,12 +434,17 @@ def agg20_distribution(s, d):
     return rounded(audit.distribution(_decl(s, d), "csp_code"), 6)
 
 
-_PROFILED = ["id_indiv", "sexe", "csp_code", "salaire_brut", "commune", "date_naissance"]
+#: Every column of declarations.
+_PROFILED = [
+    "ligne_id", "id_indiv", "numero_employeur", "sexe", "type_salarie", "situation_matrimoniale", "niveau_etude", "profession", "statut_travailleur", "csp_code", "prof_code", "date_naissance", "date_embauche",
+    "date_immatriculation", "date_immat_employeur", "date_debut_act_employ", "raison_sociale", "secteur_activite", "commune", "libelle_agence", "categorie_entreprise", "effectif_salaries", "salaire_brut",
+    "duree_travaillee", "mois", "annee", "recu_le",
+]
 
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) n, count(*) - count({c}) missing, round((count(*) - count({c})) * 100.0 / count(*), 6) pct_missing FROM declarations" for c in _PROFILED))
 def agg21_rsh08_fill_profile(s, d):
-    return rounded(audit.fill_profile(_decl(s, d), _PROFILED), 6)
+    return rounded(audit.fill_profile(_decl(s, d)), 6)
 
 
 @query("WITH u AS (SELECT DISTINCT * EXCLUDE (ligne_id, recu_le) FROM declarations), a AS (SELECT count(*) n FROM declarations), b AS (SELECT count(*) n_distinct FROM u) SELECT n, n_distinct, n - n_distinct duplicates FROM a, b")
@@ -771,6 +777,15 @@ def prj02_to_prj06_columns(s, d):
     return x.select(*reshape.order_columns(x.columns, [], ["ligne_id", "employeur"]))
 
 
+@query("SELECT row_number() OVER (ORDER BY rank, period, v) - 1 AS place, name AS \"column\" FROM (SELECT 0 rank, '' period, '' v, 'id_indiv' AS name UNION ALL SELECT 1, '', '', 'note' UNION ALL SELECT 2, period, v, v || '_t' || period FROM (SELECT DISTINCT period FROM instantanes), (VALUES ('csp_code'), ('salaire_brut')) t(v))")
+def prj06_ordered_columns(s, d):
+    """Columns of a wide table: the lead, others, then by period and variable."""
+    periods = [r[0] for r in table(s, d, "instantanes").select("period").distinct().orderBy(F.desc("period")).collect()]  # bounded by the calendar
+    names = [f"{v}_t{p}" for v in ("salaire_brut", "csp_code") for p in periods]
+    got = reshape.order_columns([*names, "note", "id_indiv"], ["csp_code", "salaire_brut"], ["id_indiv"])
+    return s.createDataFrame(list(enumerate(got)), "place bigint, `column` string")
+
+
 @query("SELECT * FROM (SELECT coalesce(id_indiv, 'NA') || '_' || coalesce(numero_employeur, 'NA') || '_' || printf('%d_%02d', annee, mois) obs_id, ligne_id, 1.0::DOUBLE w_final FROM declarations QUALIFY row_number() OVER (PARTITION BY obs_id ORDER BY ligne_id) = 1)")
 def prj11_individual_base(s, d):
     x = _decl(s, d).withColumn("period", dates.period(F.col("annee"), F.col("mois")))
