@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import file_period
 from ..plans.catalog import Rule, missing_columns
 from .ranks import percentiles
 
@@ -67,6 +68,20 @@ def summary(df: DataFrame, column: str, distinct: Sequence[str] = ()) -> DataFra
     )
 
 
+def period_range(df: DataFrame, year: str = "annee", month: str = "mois") -> DataFrame:
+    """One row: first and last year and month, and the range MM_YYYY-MM_YYYY."""
+    at = F.struct(year, month)
+    x = df.agg(F.min(at).alias("a"), F.max(at).alias("z"))
+    side = lambda s: (F.col(f"{s}.{year}"), F.col(f"{s}.{month}"))
+    names = [c.alias(f"{n}_{k}") for s, n in (("a", "first"), ("z", "last")) for c, k in zip(side(s), (year, month))]
+    return x.select(*names, F.concat_ws("-", file_period(*side("a")), file_period(*side("z"))).alias("range"))
+
+
+def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
+    """The k most frequent values with their rows, null among them; ties in the order of the alphabet."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)
+
+
 def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """rule, action, message, n_invalid, pct_invalid of all rows, in one pass; a predicate that is null counts as valid.
     Rules whose columns are absent are left out."""

@@ -112,8 +112,14 @@ def union_files(frames: Sequence[DataFrame], distinct: str | None = "file") -> D
     return out.distinct() if distinct == "global" else out
 
 
+def complete_cases(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without null in the columns; absent columns are ignored."""
+    return df.dropna(subset=[c for c in columns if c in df.columns])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
-    """One row per keys, the first (or last) by order, as a map-side combining aggregate: no group is sorted."""
+    """One row per keys, the first (or last) by order, combined before the shuffle, so that a hot key sends one row per task.
+    The row held is a struct of any width, for which Spark sorts a task's rows by key on either side of the shuffle."""
     row = F.struct(*df.columns)
     at = F.struct(*order)
     pick = F.max_by(row, at) if last else F.min_by(row, at)

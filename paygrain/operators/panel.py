@@ -88,6 +88,16 @@ def panel(df: DataFrame, firm: str = "numero_employeur", carried: Sequence[str]
     return history(fill_both_ways(balanced(seen, firm), carried, firm), firm)
 
 
+def with_flag(p: DataFrame, flag: str = "d_jt", values: Sequence[int] = (0, 1)) -> DataFrame:
+    """Employer-months that declared (1) or didn't (0); pass one value for either alone."""
+    return p.where(F.col(flag).isin(*values))
+
+
+def latest(p: DataFrame, firm: str = "numero_employeur", value: str = "ligne_id", order: Sequence[str] = ("annee", "mois")) -> DataFrame:
+    """firm and the value of its last month."""
+    return p.groupBy(firm).agg(F.max_by(value, F.struct(*order)).alias(value))
+
+
 def declaration_rate(p: DataFrame, firm: str = "numero_employeur", flag: str = "d_jt") -> DataFrame:
     return p.agg(F.avg(flag).alias("rate"), F.count_distinct(firm).alias("n_firms"), F.count_distinct("annee", "mois").alias("n_periods"))
 

@@ -70,3 +70,9 @@ def order_columns(columns: Sequence[str], variables: Sequence[str], lead: Sequen
             timed[c] = (p, list(variables).index(v))
     rest = [c for c in columns if c not in timed and c not in lead]
     return [*[c for c in lead if c in columns], *rest, *sorted(timed, key=timed.__getitem__)]
+
+
+def attach_invariants(df: DataFrame, invariants: DataFrame, ident: str, prefix: str = "") -> DataFrame:
+    """Every row with its person's invariants, their names after the prefix; persons without any keep nulls."""
+    right = invariants.withColumnsRenamed({c: f"{prefix}{c}" for c in invariants.columns if c != ident})
+    return df.join(right, ident, "left")

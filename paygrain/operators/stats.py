@@ -120,11 +120,16 @@ REPORT = [
 ]
 
 
+def report_rows(df: DataFrame, y: str, keys: Sequence[str]) -> DataFrame:
+    """Rows with a value and without null among the keys; NaN is a value here."""
+    return df.where(F.col(y).isNotNull()).dropna(subset=list(keys))
+
+
 def report(df: DataFrame, group: str, y: str, w: str, period: Sequence[str] = ("annee", "mois"), p: float = 0.01) -> DataFrame:
     """Report statistics of winsorised values, in long form: groupe, periods, statistique, valeur. Rows with a null wage,
     group or period are left out."""
     keys = [group, *period]
-    d = winsorise(df.dropna(subset=[y, *keys]), keys, y, p)
+    d = winsorise(report_rows(df, y, keys).dropna(subset=[y]), keys, y, p)
     s = group_statistics(d, keys, y, w, REPORT)
     wide = s.select(F.col(group).alias("groupe"), *period, *[F.col(x.name).cast("double").alias(x.name) for x in REPORT])
     return wide.unpivot(["groupe", *period], [x.name for x in REPORT], "statistique", "valeur")

@@ -109,14 +109,14 @@ def flt01_to_flt05_clean(s, d):
 
 @query("SELECT ligne_id FROM declarations WHERE sexe IS NOT NULL AND csp_code IS NOT NULL AND salaire_brut IS NOT NULL")
 def flt06_complete_cases(s, d):
-    return _decl(s, d).dropna(subset=["sexe", "csp_code", "salaire_brut"]).select("ligne_id")
+    return clean.complete_cases(_decl(s, d), ["sexe", "csp_code", "salaire_brut"]).select("ligne_id")
 
 
 @query(
     "SELECT d_jt, count(*) n, count(salaire_moyen) with_wage FROM panel_employeur WHERE d_jt IN (0, 1) GROUP BY 1"
 )
 def flt10_declarants(s, d):
-    p = table(s, d, "panel_employeur").where(F.col("d_jt").isin(0, 1))
+    p = panel.with_flag(table(s, d, "panel_employeur"))
     return p.groupBy("d_jt").agg(F.count("*").alias("n"), F.count("salaire_moyen").alias("with_wage"))
 
 
@@ -499,14 +499,12 @@ def qc07_base_checks(s, d):
 
 @query("SELECT min((annee, mois))[1] AS first_annee, min((annee, mois))[2] AS first_mois, max((annee, mois))[1] AS last_annee, max((annee, mois))[2] AS last_mois, printf('%02d_%04d-%02d_%04d', min((annee, mois))[2], min((annee, mois))[1], max((annee, mois))[2], max((annee, mois))[1]) \"range\" FROM declarations")
 def srt02_src14_period_range(s, d):
-    x = _decl(s, d).agg(F.min(F.struct("annee", "mois")).alias("a"), F.max(F.struct("annee", "mois")).alias("z"))
-    span = F.concat_ws("-", dates.file_period(F.col("a.annee"), F.col("a.mois")), dates.file_period(F.col("z.annee"), F.col("z.mois")))
-    return x.select(F.col("a.annee").alias("first_annee"), F.col("a.mois").alias("first_mois"), F.col("z.annee").alias("last_annee"), F.col("z.mois").alias("last_mois"), span.alias("range"))
+    return audit.period_range(_decl(s, d))
 
 
 @query("SELECT profession, count(*) n FROM declarations GROUP BY 1 ORDER BY n DESC, profession NULLS FIRST LIMIT 15")
 def srt03_top_by_frequency(s, d):
-    return _decl(s, d).groupBy("profession").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "profession").limit(15)
+    return audit.top_values(_decl(s, d), "profession")
 
 
 @query(
@@ -696,7 +694,7 @@ def mod06_brier(s, d):
 
 
 def _history(s, d):
-    p = table(s, d, "panel_employeur").where(F.col("d_jt").isin(0, 1))
+    p = panel.with_flag(table(s, d, "panel_employeur"))
     h = panel.history(p).withColumn("section", F.coalesce(F.substring("secteur_activite_cod", 1, 1), F.lit("?")))
     return materialise(h, "model-history")
 
@@ -794,7 +792,7 @@ def prj11_individual_base(s, d):
 
 @query("SELECT ligne_id FROM base_analytique WHERE salaire_brut_mens IS NOT NULL AND sexe IS NOT NULL AND annee IS NOT NULL AND mois IS NOT NULL")
 def flt11_report_rows(s, d):
-    return table(s, d, "base_analytique").where("salaire_brut_mens IS NOT NULL").dropna(subset=["sexe", "annee", "mois"], how="any").select("ligne_id")
+    return stats.report_rows(table(s, d, "base_analytique"), "salaire_brut_mens", ["sexe", "annee", "mois"]).select("ligne_id")
 
 
 @query(f"WITH {_LOOK} SELECT b.ligne_id, k.secteur_activite_cod secteur_activite_cod_ext, coalesce(k.secteur_activite_cod, b.secteur_activite_cod) sector_code FROM base_analytique b LEFT JOIN k ON nullif(trim(b.numero_employeur), '') = k.e")
@@ -854,13 +852,13 @@ def win10_cumulated_shares(s, d):
 
 @query("SELECT numero_employeur, arg_max(ligne_id, (annee, mois)) ligne_id FROM panel_employeur GROUP BY 1")
 def srt01_srt04_latest(s, d):
-    return table(s, d, "panel_employeur").groupBy("numero_employeur").agg(F.max_by("ligne_id", F.struct("annee", "mois")).alias("ligne_id"))
+    return panel.latest(table(s, d, "panel_employeur"))
 
 
 @query("SELECT b.ligne_id, k.numero_employeur premier_employeur FROM base_analytique b LEFT JOIN (SELECT id_indiv, numero_employeur FROM base_analytique QUALIFY row_number() OVER (PARTITION BY id_indiv ORDER BY period, ligne_id) = 1) k USING (id_indiv)")
 def joi13_invariants_back(s, d):
-    first = rsh02_invariants(s, d).withColumnRenamed("numero_employeur", "premier_employeur")
-    return table(s, d, "base_analytique").join(first, "id_indiv", "left").select("ligne_id", "premier_employeur")
+    first = rsh02_invariants(s, d).withColumnRenamed("numero_employeur", "employeur")
+    return reshape.attach_invariants(table(s, d, "base_analytique"), first, "id_indiv", "premier_").select("ligne_id", "premier_employeur")
 
 
 @query(
