@@ -267,7 +267,7 @@ def coverage(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | Non
 
     A value belongs to the expression selected for its shape. An expression that only the preceding load has stands
     with 0 rows."""
-    values = materialise(long_values(df, spec), "load-values") if values is None else values
+    values = materialise(long_values(df, spec), "load-values", by=["colonne"]) if values is None else values
     took, _ = _expressed(df, values, _columns(df, spec), spec)
     counted = took.groupBy(spec.load, "colonne", "expression").agg(F.sum("rows").alias("rows"))
     counted = materialise(counted, "load-coverage")
@@ -288,7 +288,7 @@ def drift(df: DataFrame, spec: LoadSpec = LoadSpec(), values: DataFrame | None =
     figures that need a value on either side give no row without one."""
     # read by each of the figures below: counted once, written once; other columns have no finding
     judged = dict.fromkeys([*(c for c, _, _ in spec.ranges), *(c for c, _ in spec.patterns), *spec.nulls, *spec.distinct, *spec.numeric, spec.month_column])
-    values = materialise(long_values(df, replace(spec, columns=tuple(judged))), "load-values") if values is None else values
+    values = materialise(long_values(df, replace(spec, columns=tuple(judged))), "load-values", by=["colonne"]) if values is None else values
     # of the expressions, the findings below read those of columns with a declared one alone
     prof = materialise(profile_loads(df, spec, values, [c for c, _ in spec.patterns if c in df.columns]), "load-profile")
     share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 6)
