@@ -27,6 +27,11 @@ def p1_flags(spark: SparkSession, d: str) -> DataFrame:
     return spikes.flag_spikes(table(spark, d, "declarations"))
 
 
+def p1_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The flags that don't come from fitted tails, with their rule."""
+    return p1_flags(spark, d).where("regle <> 'tail'").select("ligne_id", "champ", "regle")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift.schema_changes(table(spark, d, "lignes_brutes")).select("fichier", "champ", "changement")
 
@@ -89,5 +94,5 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_cutoffs, p1_flags, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_figures, p4_coverage, p6_found, p6_values)
+    for f in (p1_found, p1_cutoffs, p1_flags, p1_rules, p2_found, p2_table, p3_found, p3_changes, p4_found, p4_profile, p4_figures, p4_coverage, p6_found, p6_values)
 }

@@ -24,6 +24,10 @@ u AS (SELECT * FROM c1 UNION SELECT * FROM c2 UNION SELECT * FROM b)
 SELECT ligne_id, c AS champ FROM a UNION SELECT ligne_id, c FROM x SEMI JOIN u USING (e, i, c, m)
 """
 
+_P1_RULES = _P1[: _P1.index("u AS (SELECT * FROM c1")].rstrip().rstrip(",") + """
+SELECT ligne_id, c AS champ, 'bound' AS regle FROM a UNION ALL SELECT ligne_id, c, 'stuck' FROM x SEMI JOIN c1 USING (e, i, c, m) UNION ALL SELECT ligne_id, c, 'agreed' FROM x SEMI JOIN c2 USING (e, i, c, m)
+"""
+
 _HEADERS = {
     "ID_INDIV": ["Id Indiv", " ID_INDIV", "ID_INDIVIDU", "IDENTIFIANT_INDIVIDU", "MATRICULE_INDIV", "ID-INDIV", "id_indiv"],
     "SALAIRE_BRUT": ["SALAIREBRUT", "SALAIRE_BRUT_FCFA", "REMUNERATION_BRUTE", "SALAIRE_BRUT ", "Salaire brut", "SAL_BRUT", "salaire_brut"],
@@ -166,4 +170,4 @@ UNION ALL SELECT 'base_analytique', ligne_id, 'numero_employeur' FROM x WHERE e
 UNION ALL SELECT 'panel_employeur', ligne_id, 'd_jt' FROM p WHERE ok IS NOT TRUE AND n > 0
 """
 
-ORACLE = {"p1_found": _P1, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p3_changes": _P3_CHANGES, "p4_found": _p4(), "p4_figures": _p4_figures(), "p6_found": _P6}
+ORACLE = {"p1_found": _P1, "p1_rules": _P1_RULES, "p2_found": _P2, "p2_table": _p2_table(), "p3_found": _P3, "p3_changes": _P3_CHANGES, "p4_found": _p4(), "p4_figures": _p4_figures(), "p6_found": _P6}

@@ -416,6 +416,17 @@ def agg18_rubin_extended(s, d):
     return intervals.rubin_extended(e, ["secteur_activite_cod", "annee"], "est", "v")
 
 
+@query(
+    f"""{_IMP}, e AS (SELECT secteur_activite_cod, annee, m, avg(y) est, var_samp(y) / count(y) v FROM i GROUP BY ALL), r AS (SELECT secteur_activite_cod, annee, count(est) m, avg(est) e, avg(v) w, coalesce(var_samp(est), 0) b FROM e GROUP BY ALL),
+t AS (SELECT *, w + (1 + 1 / m) * b t FROM r), l AS (SELECT *, CASE WHEN t <> 0 THEN (1 + 1 / m) * b / t END l FROM t)
+SELECT secteur_activite_cod, annee, m, round(e, 3) estimate, round(w, 1) AS "within", round(b, 1) AS "between", round(t, 1) variance, round(l, 6) part, CASE WHEN b > 0 THEN round((m - 1) / (l * l), 3) END df FROM l"""
+)
+def agg18_rubin_figures(s, d):
+    """The extended combination without the Student interval."""
+    x = agg18_rubin_extended(s, d)
+    return x.select("secteur_activite_cod", "annee", "m", F.round("estimate", 3).alias("estimate"), *[F.round(c, 1).alias(c) for c in ("within", "between", "variance")], F.round("lambda", 6).alias("part"), F.round("df", 3).alias("df"))
+
+
 @query(
     f"""{_IMP}, l AS (SELECT annee, mois, m, y, w, unnest([{{'d': 'global', 'g': 'Total'}}, {{'d': 'sector', 'g': secteur_activite_cod}}, {{'d': 'age_employe', 'g': cl_red_age_employe}}, {{'d': 'sex', 'g': sexe}}, {{'d': 'commune', 'g': commune}}], recursive := true) FROM i),
 e AS (SELECT d, g, annee, mois, m, sum(w * y)::DOUBLE / sum(w)::DOUBLE mean, max(y) mx FROM l GROUP BY ALL) SELECT d dimension, g group_value, annee, mois, statistique, count(v) m, round(avg(v), 3) estimate, round(coalesce(var_samp(v), CASE WHEN count(v) >= 1 THEN 0 END), 1) variance FROM (SELECT d, g, annee, mois, unnest([{{'statistique': 'mean', 'v': mean}}, {{'statistique': 'max', 'v': mx}}], recursive := true) FROM e) WHERE v IS NOT NULL GROUP BY ALL"""
