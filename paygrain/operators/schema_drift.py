@@ -374,10 +374,10 @@ def unify(raw: DataFrame, project: Sequence[Field] = PROJECT) -> DataFrame:
     mine = match.where(F.col("champ").isin(*[f.name for f in project]))
     pairs = F.map_from_entries(F.collect_list(F.struct("champ", "header")))
     files = mine.groupBy("fichier").agg(pairs.alias("_headers"), F.collect_list("header").alias("_own"))
-    v = F.try_parse_json("contenu")
     cells = F.expr("try_variant_get(_v, '$', 'map<string,variant>')")
-    # keys of a map of files without a month in their name are looked up like any other
-    d = raw.select("fichier", "ligne_id", v.alias("_v")).withColumn("_m", F.when(F.expr("schema_of_variant(_v)").startswith("OBJECT"), cells)).drop("_v").join(files, "fichier", "left")
+    # the text travels, not what is parsed from it; files without a month in their name are looked up like any other
+    d = raw.select("fichier", "ligne_id", "contenu").join(files, "fichier", "left").withColumn("_v", F.try_parse_json("contenu"))
+    d = d.withColumn("_m", F.when(F.expr("schema_of_variant(_v)").startswith("OBJECT"), cells))
     # each text once, in a step of its own: the casts look at it several times
     d = d.select("fichier", "ligne_id", "_m", F.array_except(F.map_keys("_m"), F.coalesce("_own", F.array().cast("array<string>"))).alias("_rest"), *[F.nullif(F.trim(_text(f)), F.lit("")).alias(f"_{f.name}") for f in project])
     others = F.map_from_arrays("_rest", F.transform("_rest", lambda k: F.try_variant_get(F.col("_m")[k], "$", "string")))
